@@ -1,0 +1,29 @@
+"""Connected components of an edge table, by labels that only fall."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from . import common
+
+
+def connected_components(edges: DataFrame) -> DataFrame:
+    """(node, label) for each node of edges (a long, b long); label is the smallest node reachable.
+
+    A round takes the smallest label next to each node and then the label of that label, which halves
+    the way left on long chains. Labels are written to the shared folder after each round, so that
+    plans stay short and a lost executor costs one round. The driver gets one count a round.
+    """
+    both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    near = common.save(both.where("a <> b").distinct(), "cc-edges")
+    labels = common.save(near.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("node"), F.least("a", "b").alias("label")), "cc-labels")
+    while True:
+        beside = near.join(labels, near["b"] == labels["node"]).groupBy("a").agg(F.min("label").alias("least"))
+        hooked = labels.join(beside, labels["node"] == beside["a"]).select("node", F.col("label").alias("was"), F.least("label", "least").alias("via"))
+        up = labels.select(F.col("node").alias("up"), F.col("label").alias("up_label"))
+        jumped = hooked.join(up, hooked["via"] == up["up"]).select("node", "was", F.least("via", "up_label").alias("label"))
+        made = common.save(jumped, "cc-labels")
+        labels = made.select("node", "label")
+        if not made.where("was <> label").limit(1).count():
+            return labels
