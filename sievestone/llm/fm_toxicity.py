@@ -1,6 +1,6 @@
 """Toxicity by a factorization machine over hashed terms.
 
-A text is the set of its lower-cased letter runs, hashed into buckets. The score is the logistic of
+A text is the set of its lower-cased letter runs and their beginnings, hashed into buckets. The score is the logistic of
 bias + sum of weights + sum over pairs of <v_i, v_j>, so two terms can say together what neither says
 alone, such as an insult next to the mention of a group. Weights are learnt with follow-the-regularised-
 leader and an L1 penalty, so that the buckets of the countless neutral words stay exactly zero and long
@@ -30,19 +30,26 @@ from . import common
 FOLDS, HELD_OUT = 3, 1
 THRESHOLD = 0.7
 #: The bound of the training sample.
-MAX_TRAIN = 20_000
+MAX_TRAIN = 12_000
 BUCKETS, FACTORS = 1 << 20, 4
-EPOCHS, ALPHA, BETA, L1, L2, V_RATE, V_L2, SEED = 4, 0.3, 1.0, 2.0, 1.0, 0.05, 0.01, 42
+EPOCHS, ALPHA, BETA, L1, L2, V_RATE, V_L2, SEED = 8, 0.3, 1.0, 6.0, 1.0, 0.05, 0.01, 42
+PREFIXES = (3, 4, 5, 6)
 LETTERS = re.compile(r"[^\W\d_]+")
 #: Words of which a worker keeps the buckets; beyond them it starts anew.
 MAX_WORDS = 500_000
 
 
+def word_terms(word: str) -> list[str]:
+    """The word and its beginnings: insults are inflected and compounded."""
+    return [word, *(f"{word[:k]}-" for k in PREFIXES if k < len(word))]
+
+
 class Terms:
-    """Hashed term sets of texts; words that were met are kept."""
+    """Hashed term sets of texts, of active buckets only where those are given; words that were met are kept."""
 
-    def __init__(self) -> None:
-        self.known: dict[str, int] = {}
+    def __init__(self, active: dict[int, float] | None = None) -> None:
+        self.active = active
+        self.known: dict[str, tuple[int, ...]] = {}
 
     def buckets(self, text: str) -> list[int]:
         import xxhash
@@ -50,10 +57,11 @@ class Terms:
         words = set(LETTERS.findall(text.lower()))
         if len(self.known) > MAX_WORDS:
             self.known = {}
-        known = self.known
+        known, active = self.known, self.active
         for w in words.difference(known):
-            known[w] = xxhash.xxh32_intdigest(w.encode(), SEED) % BUCKETS
-        return sorted({known[w] for w in words})
+            hashed = [xxhash.xxh32_intdigest(t.encode(), SEED) % BUCKETS for t in word_terms(w)]
+            known[w] = tuple(b for b in hashed if active is None or b in active)
+        return sorted(set().union(*map(known.__getitem__, words)))
 
 
 @dataclass
@@ -141,7 +149,8 @@ def scores(docs: DataFrame, model: FactorizationMachine, *keep: str) -> DataFram
     shared = docs.sparkSession.sparkContext.broadcast((model.bias, model.weights, model.vectors))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms, m = Terms(), FactorizationMachine(*shared.value)
+        m = FactorizationMachine(*shared.value)
+        terms = Terms(m.weights)
         for b in batches:
             at = b.schema.get_field_index("_text")
             found = pa.array([m.score(terms.buckets(t)) for t in b.column(at).to_pylist()], pa.float64())
