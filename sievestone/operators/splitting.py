@@ -23,7 +23,7 @@ def fill(deficits: list[float], size: int, n: int) -> list[int]:
     taken = [0] * len(deficits)
     for _ in range(80):
         middle = (low + high) / 2
-        some = [max(0, int((d - middle) // size)) for d in deficits]
+        some = [max(0, int((d - middle) // size) - 1) for d in deficits]  # one less: rounding may not take too many
         if sum(some) <= n:
             high, taken = middle, some
         else:

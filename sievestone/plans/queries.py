@@ -340,8 +340,8 @@ def coco_tables(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, Data
 D_COCO = f"n AS ({duck(COCO_NOTES)}), k AS (SELECT o_orderkey AS image_id FROM orders), c AS (SELECT r_regionkey * 3 + 1 AS category_id, row_number() OVER (ORDER BY r_regionkey) - 1 AS cls, lower(r_name) AS name FROM region)"
 
 
-@query(f"""WITH {D_COCO}, b AS (SELECT n.*, cls FROM n JOIN c USING (category_id)) SELECT k.image_id, id AS line_no, cls, round(least(greatest((x + w / 2) / 640, 0), 1), 8) AS xc, round(least(greatest((y + h / 2) / 480, 0), 1), 8) AS yc,
-round(least(greatest(w / 640, 0), 1), 8) AS w, round(least(greatest(h / 480, 0), 1), 8) AS h FROM k LEFT JOIN b USING (image_id)""")
+@query(f"""WITH {D_COCO}, b AS (SELECT image_id, id AS line_no, cls, round(least(greatest((x + w / 2) / 640, 0), 1), 8) AS xc, round(least(greatest((y + h / 2) / 480, 0), 1), 8) AS yc,
+round(least(greatest(w / 640, 0), 1), 8) AS w, round(least(greatest(h / 480, 0), 1), 8) AS h FROM n JOIN c USING (category_id)) SELECT image_id, line_no, cls, xc, yc, w, h FROM k LEFT JOIN b USING (image_id)""")
 def coco_clamped(spark, d):
     return coco.to_boxes(*coco_tables(spark, d)).select("image_id", "line_no", F.col("cls").cast("long").alias("cls"), *(F.round(c, 8).alias(c) for c in ("xc", "yc", "w", "h")))
 

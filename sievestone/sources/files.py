@@ -33,8 +33,8 @@ def scan_lists(spark: SparkSession, path: str) -> DataFrame:
 
 def scan_labels(spark: SparkSession, folder: str) -> DataFrame:
     """path, stem, text: one row for each label file; an empty one has an empty text."""
-    files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt").text(folder, wholetext=True)
-    return files.select(F.col("_metadata.file_path").alias("path"), scalars.stem(F.col("_metadata.file_path")).alias("stem"), F.col("value").alias("text"))
+    found = scan_files(spark, folder, "*.txt", content=True)  # the text source has no row for an empty file
+    return found.select("path", "stem", F.col("content").cast("string").alias("text"))
 
 
 def label_lines(files: DataFrame, *keys: str) -> DataFrame:
