@@ -23,11 +23,12 @@ def fill(deficits: list[float], size: int, n: int) -> list[int]:
     taken = [0] * len(deficits)
     for _ in range(80):
         middle = (low + high) / 2
-        some = [max(0, int((d - middle) // size) - 1) for d in deficits]  # one less: rounding may not take too many
+        some = [max(0, int((d - middle) // size)) for d in deficits]
         if sum(some) <= n:
             high, taken = middle, some
         else:
             low = middle
+    taken = [max(0, k - 1) for k in taken]  # rounding at the level may have taken one too many
     heap = [(-(d - size * k), s) for s, (d, k) in enumerate(zip(deficits, taken))]
     heapq.heapify(heap)
     for _ in range(n - sum(taken)):

@@ -33,8 +33,12 @@ def scan_lists(spark: SparkSession, path: str) -> DataFrame:
 
 def scan_labels(spark: SparkSession, folder: str) -> DataFrame:
     """path, stem, text: one row for each label file; an empty one has an empty text."""
-    found = scan_files(spark, folder, "*.txt", content=True)  # the text source has no row for an empty file
-    return found.select("path", "stem", F.col("content").cast("string").alias("text"))
+    found = scan_files(spark, folder, "*.txt", content=True)
+    # File scans leave empty files out, but these stand for images without boxes: their names come from the listing.
+    listed = spark.createDataFrame([(p,) for p in found.inputFiles()], "path string").select(F.url_decode(F.replace("path", F.lit("+"), F.lit("%2B"))).alias("path"))
+    plain = lambda c: F.regexp_replace(c, "^file:/+", "/")
+    both = listed.select(plain(F.col("path")).alias("path")).join(found.select(plain(F.col("path")).alias("path"), "content"), "path", "left")
+    return both.select("path", scalars.stem(F.col("path")).alias("stem"), F.coalesce(F.col("content").cast("string"), F.lit("")).alias("text"))
 
 
 def label_lines(files: DataFrame, *keys: str) -> DataFrame:
