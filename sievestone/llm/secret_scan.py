@@ -122,10 +122,15 @@ def tested(tokens: DataFrame) -> DataFrame:
 
 
 def cuts(counts: dict[tuple[int, int], list[int]], fdr: float = FDR) -> dict[tuple[int, int], float]:
-    """For each stratum the lowest p that keeps the estimated share of non-random strings within fdr; strata without random strings get none."""
+    """For each stratum the lowest p that keeps the share of non-random strings within fdr; strata without random strings get none.
+
+    The number of random strings is taken two standard errors above its estimate, so that chance does
+    not raise the cut of a stratum with few strings.
+    """
     made = {}
     for stratum, bins in counts.items():
         random = 2 * sum(bins[BINS // 2 :])
+        random += 2 * (2 * random) ** 0.5
         for k in range(BINS // 2 + 1):
             kept = sum(bins[k:])
             if random and kept and 1 - random * (1 - k / BINS) / kept <= fdr:
