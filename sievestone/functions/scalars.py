@@ -160,7 +160,7 @@ def iou(a: Column, b: Column) -> Column:
 
 
 def centre(box: Column) -> Column:
-    return F.struct(((box["x1"] + box["x2"]) * 0.5).alias("x"), ((box["y1"] + box["y2"]) * 0.5).alias("y"))
+    return F.named_struct(F.lit("x"), (box["x1"] + box["x2"]) * 0.5, F.lit("y"), (box["y1"] + box["y2"]) * 0.5)
 
 
 def contains(box: Column, point: Column, margin: float = 0.15) -> Column:

@@ -50,6 +50,12 @@ def stride_sample(rows: DataFrame, order: list[Column], n: int) -> DataFrame:
     return ranked(rows.withColumn("_all", F.lit(0)), ["_all"], order, "_rank").where(((F.col("_rank") - 1) % step == 0) & ((F.col("_rank") - 1) / step < n)).drop("_all", "_rank")
 
 
+def area_sample(areas: DataFrame, id_column: str, n: int, least: float = 0.02) -> DataFrame:
+    """A stride sample by falling area of rows (id, first, second: the areas of two classes, 0 where there is none); where both classes occur the smaller area counts."""
+    area = F.when(F.col("second") > 0, F.least("first", "second")).otherwise(F.col("first"))
+    return stride_sample(areas.withColumn("area", area).where(F.col("area") > least), [-F.col("area"), F.col(id_column)], n)
+
+
 def seeded_sample(rows: DataFrame, keys: list[str], id_column: str, n: int, seed: int) -> DataFrame:
     """n rows of each key in seeded order."""
     return capped(rows, keys, [seeded(seed, id_column), F.col(id_column)], n)

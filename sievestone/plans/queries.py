@@ -11,7 +11,7 @@ from ..functions import scalars as S
 from ..operators import audit, coco, compliance, evaluate, graph, hamming, labels, quarantine, ranking, splitting
 from ..sources import files
 from ..sources.scratch import new_folder
-from ..streaming import gate
+from ..streaming import frames, gate
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -601,6 +601,16 @@ def worker_status(spark, d):
     return rows.select("frame_no", "track_id", F.array_join("present", ",").alias("present"), F.array_join("missing", ",").alias("missing"), "compliant")
 
 
+@query(ORACLES["worker_status"].replace("SELECT frame_no, track_id, coalesce(string_agg(cls, ',' ORDER BY o) FILTER (WHERE n > 0), '') AS present, coalesce", "SELECT frame_no AS frame, track_id, coalesce").replace(", count(*) FILTER (WHERE n = 0) = 0 AS compliant", ""))
+def frame_statuses(spark, d):
+    """The same statuses row by row, as a stream computes them."""
+    workers, items = workers_and_items(spark, d)
+    w = workers.groupBy("frame_no").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "track_id", "box"))), lambda x: F.struct(x["track_id"].alias("track_id"), x["box"].alias("box"))).alias("workers"))
+    i = items.groupBy("frame_no").agg(F.collect_list(F.struct("cls", "box", "conf")).alias("items"))
+    rows = frames.frame_statuses(w.join(i, "frame_no", "left").withColumn("items", F.coalesce("items", F.array().cast(dict(i.dtypes)["items"]))))
+    return rows.withColumn("missing", F.array_join("missing", ","))
+
+
 @query("""WITH e AS (SELECT user_id, event_type, CASE WHEN user_id % 2 = 0 THEN 'a' ELSE 'b' END AS zone FROM events), z AS (SELECT * FROM (VALUES ('a', 'click'), ('a', 'view'), ('b', 'signup'), ('b', 'purchase'), ('b', 'error')) z(zone, need)),
 u AS (SELECT DISTINCT user_id, zone FROM e), m AS (SELECT u.user_id, u.zone, need FROM u JOIN z USING (zone) WHERE NOT EXISTS (SELECT 1 FROM e WHERE e.user_id = u.user_id AND e.event_type = need))
 SELECT u.user_id, u.zone, coalesce(string_agg(need, ',' ORDER BY need), '') AS missing, count(need) = 0 AS compliant FROM u LEFT JOIN m ON u.user_id = m.user_id GROUP BY 1, 2""")
@@ -666,6 +676,17 @@ def stride_sample(spark, d):
     return ranking.stride_sample(rows, [-F.col("o_totalprice"), F.col("o_orderkey")], 12).select("o_orderkey")
 
 
+@query(f"""WITH b AS ({D_BOXES}), m AS (SELECT image, cls, w * h AS a, row_number() OVER (PARTITION BY image, cls ORDER BY w * h) AS rn, count(*) OVER (PARTITION BY image, cls) AS n FROM b),
+u AS (SELECT image, coalesce(max(a) FILTER (WHERE cls = 0), 0) AS first, coalesce(max(a) FILTER (WHERE cls = 1), 0) AS second FROM m WHERE rn = n // 2 + 1 GROUP BY image),
+r AS (SELECT image, CASE WHEN second > 0 THEN least(first, second) ELSE first END AS area FROM u), k AS (SELECT *, row_number() OVER (ORDER BY area DESC, image) - 1 AS k, greatest(1, count(*) OVER () // 20) AS step FROM r WHERE area > 0.02)
+SELECT image, round(area, 8) AS area FROM k WHERE k % step = 0 AND k // step < 20""")
+def area_sample(spark, d):
+    medians = audit.upper_median(boxes(spark, d).withColumn("a", F.col("w") * F.col("h")), ["image", "cls"], "a")
+    of = lambda c: F.coalesce(F.max(F.when(F.col("cls") == c, F.col("upper_median"))), F.lit(0.0))
+    areas = medians.groupBy("image").agg(of(0).alias("first"), of(1).alias("second"))
+    return ranking.area_sample(areas, "image", 20).select("image", F.round("area", 8).alias("area"))
+
+
 @query(f"SELECT c_mktsegment, c_custkey FROM (SELECT *, row_number() OVER (PARTITION BY c_mktsegment ORDER BY {D_SEED.format(11, 'c_custkey')}, c_custkey) AS rn FROM customer) WHERE rn <= 5")
 def seeded_sample(spark, d):
     return ranking.seeded_sample(table(spark, d, "customer"), ["c_mktsegment"], "c_custkey", 5, 11).select("c_mktsegment", "c_custkey")

@@ -6,8 +6,8 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 from sievestone.operators import coco, labels
-from sievestone.sources import files
-from sievestone.streaming import gate
+from sievestone.sources import files, search
+from sievestone.streaming import frames, gate
 
 REPO = Path(__file__).resolve().parent.parent
 
@@ -89,6 +89,33 @@ def test_gate_state_lasts_across_micro_batches(spark, tmp_path):
     assert ids == [-2001, -2002, -2003]
 
 
+def test_search_source(spark):
+    def pages(text, token):
+        """A search service of three pages with two hits each."""
+        page = int(token or 0)
+        hits = [{"title": f"{text} {page}{k}", "url": "u", "thumburl": "" if k else "t", "mime": "image/png", "extmetadata": {"Artist": {"value": "<b>A</b>  B"}}} for k in range(2)]
+        return hits, str(page + 1) if page < 2 else None
+
+    made = search.search(spark, {"helmet": ["q1", "q2", "q3"], "vest": ["v"]}, pages, per_query=5, per_label=8)
+    found = sorted((r["label"], r["query"], r["position"]) for r in made.collect())
+    assert found == [("helmet", q, k) for q in ("q1", "q2") for k in range(5)][:8] + [("vest", "v", k) for k in range(5)]
+    records = search.sidecars(made).collect()
+    assert {(r["artist"], r["license_short"], r["suffix"]) for r in records} == {("A B", "Unknown", ".png")}
+    assert {r["thumb_url"] for r in records} == {"t", "u"} and set(files.SIDECAR) <= set(records[0].asDict())
+
+
+def test_alerts_from_a_stream_of_frames(spark, tmp_path):
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    person, places = (0.0, 0.0, 100.0, 200.0), {"helmet": 28.0, "goggles": 52.0, "vest": 104.0, "gloves": 136.0}
+    item = lambda c: (c, (45.0, places[c] - 5, 55.0, places[c] + 5), 0.9)
+    worn = [["helmet", "goggles", "vest", "gloves"]] * 2 + [["helmet", "vest", "gloves"]] * 4
+    rows = [(n, [(7, person), (-1, (500.0, 0.0, 600.0, 200.0))], [item(c) for c in cs]) for n, cs in enumerate(worn)]
+    spark.createDataFrame(rows, frames.FRAMES).coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(frames.FRAMES).parquet(str(tmp_path / "in"))
+    frames.compliance_alerts(stream).writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start(str(tmp_path / "out")).awaitTermination()
+    assert [(r["frame"], r["track_id"], r["missing"]) for r in spark.read.parquet(str(tmp_path / "out")).collect()] == [(4, 7, ["goggles"])]
+
+
 def test_entry_works_without_the_corpus_part():
     code = """
 import sys
