@@ -30,8 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.graph import connected_components
 from . import common
-from .components import connected_components
 
 BITS, RADIUS, SHINGLE, SEED = 64, 2, 3, 42
 #: Cells of a part's histogram. Parts of up to 16 bits are counted exactly; wider ones share cells, which only raises an estimate.
