@@ -3,42 +3,19 @@
 from __future__ import annotations
 
 import sys
-import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.scratch import new_folder, save  # noqa: F401
+
 #: ASCII white space, \x20 and \x09-\x0D, as a regular expression and as characters.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 SPACE_CHARS = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-#: Only where a session names no checkpoint folder, as in tests.
-FALLBACK_FOLDER = "file:///tmp/checkpoints"
 #: Arrow batches that go to Python hold at most this many bytes; long texts make small batches.
-ARROW_BATCH_BYTES = 32 << 20
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    return (folder or FALLBACK_FOLDER).rstrip("/")
-
-
-def new_folder(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder, removed when the session's file systems close."""
-    path = f"{shared_folder(spark)}/sievestone/{name}-{uuid.uuid4().hex}"
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
-    return path
-
-
-def save(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared folder and read it back: cuts the lineage, survives lost executors."""
-    path = new_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+ARROW_BATCH_BYTES = 16 << 20
 
 
 def python_batches(spark: SparkSession) -> None:

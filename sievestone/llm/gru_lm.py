@@ -69,6 +69,22 @@ def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield batch()
 
 
+def by_class(words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The class of each word, the order by class, and where each class begins in it. Small integers sort by radix."""
+    of = (words // CLASS_SIZE + 1).astype(np.uint8)
+    of[words >= WORDS] = 0
+    order = np.argsort(of, kind="stable")
+    return of, order, np.searchsorted(of.take(order), np.arange(CLASSES + 2))
+
+
+def log_softmax_at(z: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """For each row the logarithm of the softmax at one column; z is lost."""
+    z -= z.max(1, keepdims=True)
+    own = z[np.arange(len(z)), at]
+    np.exp(z, out=z)
+    return own - np.log(z.sum(1))
+
+
 def softmax_rows(z: np.ndarray) -> np.ndarray:
     """In place."""
     z -= z.max(1, keepdims=True)
@@ -118,44 +134,47 @@ class Gru:
 
     def step(self, h: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, ...]:
         """The next states and what backpropagation needs."""
-        a, b = self.x[words], h @ self.u
-        gates = 1 / (1 + np.exp(-(a[:, : 2 * HIDDEN] + b[:, : 2 * HIDDEN])))
+        a, b = self.x.take(words, axis=0), h @ self.u
+        gates = a[:, : 2 * HIDDEN] + b[:, : 2 * HIDDEN]
+        gates *= -1
+        np.exp(gates, out=gates)
+        gates += 1
+        np.reciprocal(gates, out=gates)
         update, reset = gates[:, :HIDDEN], gates[:, HIDDEN:]
         inner = b[:, 2 * HIDDEN :]
-        new = np.tanh(a[:, 2 * HIDDEN :] + reset * inner)
-        return new + update * (h - new), update, reset, inner, new
+        new = reset * inner
+        new += a[:, 2 * HIDDEN :]
+        np.tanh(new, out=new)
+        out = h - new
+        out *= update
+        out += new
+        return out, update, reset, inner, new
 
     def log_probs(self, states: np.ndarray, words: np.ndarray) -> np.ndarray:
         """Natural log-probability of each word after a state; of the tail class for a tail word."""
-        p = softmax_rows(states @ self.wc + self.bc)
-        of = np.where(words < WORDS, 1 + words // CLASS_SIZE, 0)
-        out = np.log(p[np.arange(len(of)), of])
-        order = np.argsort(of, kind="stable")
-        ends = np.searchsorted(of[order], np.arange(CLASSES + 2))
+        of, order, ends = by_class(words)
+        out = log_softmax_at(states @ self.wc + self.bc, of)
         for c in range(1, CLASSES + 1):
             who = order[ends[c] : ends[c + 1]]
             if len(who):
-                z = states[who] @ self.ww[c - 1] + self.bw[c - 1]
-                z -= z.max(1, keepdims=True)
-                out[who] += z[np.arange(len(who)), words[who] % CLASS_SIZE] - np.log(np.exp(z).sum(1))
+                out[who] += log_softmax_at(states.take(who, axis=0) @ self.ww[c - 1] + self.bw[c - 1], words.take(who) % CLASS_SIZE)
         return out
 
     def output_gradient(self, states: np.ndarray, words: np.ndarray, grads: dict[str, np.ndarray]) -> np.ndarray:
         """Of the loss by the states; adds to the gradients of the output."""
         p = softmax_rows(states @ self.wc + self.bc)
-        of = np.where(words < WORDS, 1 + words // CLASS_SIZE, 0)
+        of, order, ends = by_class(words)
         p[np.arange(len(of)), of] -= 1
         grads["wc"] += states.T @ p
         grads["bc"] += p.sum(0)
         back = p @ self.wc.T
-        order = np.argsort(of, kind="stable")
-        ends = np.searchsorted(of[order], np.arange(CLASSES + 2))
         for c in range(1, CLASSES + 1):
             who = order[ends[c] : ends[c + 1]]
             if len(who):
-                z = softmax_rows(states[who] @ self.ww[c - 1] + self.bw[c - 1])
-                z[np.arange(len(who)), words[who] % CLASS_SIZE] -= 1
-                grads["ww"][c - 1] += states[who].T @ z
+                own = states.take(who, axis=0)
+                z = softmax_rows(own @ self.ww[c - 1] + self.bw[c - 1])
+                z[np.arange(len(who)), words.take(who) % CLASS_SIZE] -= 1
+                grads["ww"][c - 1] += own.T @ z
                 grads["bw"][c - 1] += z.sum(0)
                 back[who] += z @ self.ww[c - 1].T
         return back
@@ -243,16 +262,31 @@ class Trainer:
             np.clip(g, -CLIP, CLIP, out=g)
             self.squares[n] += g * g
             getattr(self.model, n)[...] -= RATE * g / np.sqrt(self.squares[n])
-        order = np.argsort(words, kind="stable")
-        sorted_words = words[order]
+        order = np.argsort(words.astype(np.int16), kind="stable")
+        sorted_words = words.take(order)
         starts = np.flatnonzero(np.r_[True, sorted_words[1:] != sorted_words[:-1]])
         rows = sorted_words[starts]
-        g = np.clip(np.add.reduceat(inputs[order], starts, axis=0) * scale, -CLIP, CLIP)
+        g = np.clip(np.add.reduceat(inputs.take(order, axis=0), starts, axis=0) * scale, -CLIP, CLIP)
         self.squares["x"][rows] += g * g
         self.model.x[rows] -= RATE * g / np.sqrt(self.squares["x"][rows])
         self.seen += total
 
 
+class Numbers(dict):
+    """Numbers of words; any other word has the number given for it, without being stored."""
+
+    other = WORDS
+
+    def __missing__(self, word: bytes) -> int:
+        return self.other
+
+
+def numbered(words: list[bytes], other: int) -> Numbers:
+    made = Numbers(zip(words, range(len(words))))
+    made.other = other
+    return made
+
+
 @dataclass
 class Lexicon:
     """What the workers know of the corpus: the hot words with their counts, and totals."""
@@ -263,15 +297,10 @@ class Lexicon:
     distinct: int
 
     def __post_init__(self) -> None:
-        self.number = {w: k for k, w in enumerate(self.words)}
         self.in_model = min(len(self.words), WORDS)
         head = int(self.counts[: self.in_model].sum())
-        self.tail_total, self.tail_distinct = self.total - head, self.distinct - self.in_model
-
-    def ids(self, text: bytes) -> np.ndarray:
-        get = self.number.get
-        found = np.fromiter((get(w, WORDS) for w in tokens(text)), np.int32)
-        return np.minimum(found, WORDS)
+        seen = int((self.counts[: self.in_model] > 0).sum())
+        self.tail_total, self.tail_distinct = self.total - head, self.distinct - seen
 
 
 def lexicon(table: DataFrame) -> Lexicon:
@@ -292,10 +321,10 @@ def train(texts: DataFrame, lex: Lexicon) -> Gru:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, blob = shared.value
-        get = {w: k for k, w in enumerate(words)}.get
+        get = numbered(words, WORDS).__getitem__
         trainer = Trainer(Gru.from_blob(blob))
         for b in batches:
-            trainer.learn([np.fromiter((get(w, WORDS) for w in tokens(t)), np.int32) for t in b.column("text").cast(pa.binary()).to_pylist()])
+            trainer.learn([np.fromiter(map(get, tokens(t)), np.int32) for t in b.column("text").cast(pa.binary()).to_pylist()])
         if trainer.seen:
             yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([trainer.seen], pa.int64()), pa.array([trainer.model.blob()], pa.binary())], names=["part", "seen", "model"])
 
@@ -330,26 +359,34 @@ def document_log_probs(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         *known, blob = shared.value
         lexicon_here, gru = Lexicon(*known), Gru.from_blob(blob)
-        counts, get, hot = lexicon_here.counts, lexicon_here.number.get, len(lexicon_here.words)
+        counts, hot = lexicon_here.counts, len(lexicon_here.words)
+        get = numbered(lexicon_here.words, hot).__getitem__
         base = np.append(np.log10((counts + 1) / base_of), 0)
         in_tail = np.append(np.log10((counts + 1) / tail_of), 0)
         in_tail[: lexicon_here.in_model] = 0
         for b in batches:
-            rows, ids, start = [], [], 0
-            texts = b.column("text").cast(pa.binary()).to_pylist()
-            for t in texts:
-                words = tokens(t)
-                at = np.fromiter((get(w, hot) for w in words), np.int32, len(words))
-                rest = Counter(w for w, k in zip(words, at.tolist()) if k == hot) if (at == hot).any() else {}
-                rows.append((len(words), int((counts[at[at < hot]] > 0).sum()), float(base[at].sum()), float(in_tail[at].sum()), list(rest.items())))
-                ids.append(np.minimum(at, WORDS) if hot > WORDS else np.where(at == hot, WORDS, at))
+            if not b.num_rows:
+                continue
+            ids, numbers, offsets, tail_words, tail_counts = [], [], [0], [], []
+            for text in b.column("text").cast(pa.binary()).to_pylist():
+                words = tokens(text)
+                at = np.fromiter(map(get, words), np.int32, len(words))
+                rest = Counter(map(words.__getitem__, np.flatnonzero(at == hot).tolist()))
+                tail_words += rest.keys()
+                tail_counts += rest.values()
+                offsets.append(len(tail_words))
+                numbers.append((len(words), int((counts[at[at < hot]] > 0).sum()), float(base[at].sum()), float(in_tail[at].sum())))
+                ids.append(np.where((at == hot) | (at > WORDS), WORDS, at))
+            n_tokens, known_here, base_here, tail_here = zip(*numbers)
             model_scores = document_scores(gru, ids) / np.log(10)
-            columns = list(zip(*rows)) or [()] * 5
-            tail = pa.array([[{"word": w, "k": k} for w, k in r] for r in columns[4]], pa.list_(pa.struct([("word", pa.binary()), ("k", pa.int64())])))
+            pairs = pa.StructArray.from_arrays([pa.array(tail_words, pa.binary()), pa.array(tail_counts, pa.int64())], names=["word", "k"])
             yield pa.RecordBatch.from_arrays(
-                [b.column("row"), b.column("doc_id"), b.column("held_out"), pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.float64()), pa.array(model_scores + np.array(columns[3]), pa.float64()), tail],
+                [
+                    b.column("row"), b.column("doc_id"), b.column("held_out"), pa.array(n_tokens, pa.int64()), pa.array(known_here, pa.int64()), pa.array(base_here, pa.float64()),
+                    pa.array(model_scores + np.array(tail_here), pa.float64()), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pairs),
+                ],
                 names=["row", "doc_id", "held_out", "n_tokens", "known", "base", "model", "tail"],
-            )
+            )
 
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), held_out.alias("held_out"), common.whole_text().alias("text"))
     kind = "row long, doc_id long, held_out boolean, n_tokens long, known long, base double, model double, tail array<struct<word:binary,k:long>>"
