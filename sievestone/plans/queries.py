@@ -137,10 +137,10 @@ def package_collisions(spark, d):
 
 D_PARSED = f"""l AS ({D_LINES}), q AS (SELECT *, trim(regexp_replace(line, '\\s+', ' ', 'g')) AS t FROM l),
 f AS (SELECT *, CASE WHEN t = '' THEN [] ELSE string_split(t, ' ') END AS fs FROM q),
-p AS (SELECT *, len(fs) AS n_fields, CASE WHEN regexp_matches(fs[1], '^[+-]?[0-9]+$') THEN try_cast(fs[1] AS int) END AS cls,
+pl AS (SELECT *, len(fs) AS n_fields, CASE WHEN regexp_matches(fs[1], '^[+-]?[0-9]+$') THEN try_cast(fs[1] AS int) END AS cls,
  try_cast(fs[2] AS double) AS xc, try_cast(fs[3] AS double) AS yc, try_cast(fs[4] AS double) AS w, try_cast(fs[5] AS double) AS h FROM f),
 v AS (SELECT *, coalesce(cls IS NOT NULL AND xc IS NOT NULL AND yc IS NOT NULL AND w IS NOT NULL AND h IS NOT NULL, false) AS numeric,
- cls IN (0, 1) AS known, xc < 0 OR xc > 1 OR yc < 0 OR yc > 1 AS bad_centre, w <= 0 OR w > 1 OR h <= 0 OR h > 1 AS bad_size FROM p)"""
+ cls IN (0, 1) AS known, xc < 0 OR xc > 1 OR yc < 0 OR yc > 1 AS bad_centre, w <= 0 OR w > 1 OR h <= 0 OR h > 1 AS bad_size FROM pl)"""
 
 
 @query(f"WITH {D_PARSED} SELECT stem, line_no, cast(n_fields AS int) AS n_fields, cls, xc, yc, w, h FROM v")
@@ -707,3 +707,40 @@ def ratio_split(spark, d):
 def split_aliases(spark, d):
     name = F.when(F.col("l_linenumber") % 4 == 0, "train").when(F.col("l_linenumber") % 4 == 1, "valid").when(F.col("l_linenumber") % 4 == 2, "val").otherwise("test")
     return table(spark, d, "lineitem").select(quarantine.split_name(name).alias("split")).groupBy("split").agg(F.count("*").alias("n"))
+
+
+# Whole plans
+
+
+@query(f"""WITH {D_PAIRS.format(t=NEAR)}, {D_PARSED}, lab AS (SELECT DISTINCT cast(stem AS bigint) AS id FROM l), i AS (SELECT id, {D_SPLIT_ID} AS split FROM b),
+w AS (SELECT i.* FROM i JOIN lab USING (id)), e AS (SELECT a, b, d FROM p UNION ALL SELECT b, a, d FROM p), n AS (SELECT e.a, min(e.b) AS kept FROM e JOIN w x ON e.a = x.id JOIN w y ON e.b = y.id
+WHERE {D_PRIORITY.format('e.a')} < {D_PRIORITY.format('e.b')} GROUP BY e.a),
+bad AS (SELECT cast(stem AS bigint) AS id, count(*) AS c FROM v WHERE n_fields > 0 AND (n_fields <> 5 OR NOT numeric OR NOT known OR bad_centre OR bad_size) GROUP BY 1)
+SELECT 'near_duplicate' AS type, cast(a AS varchar) AS source, cast(kept AS varchar) AS kept, {SPLIT.format(k='a')} AS split, cast(NULL AS bigint) AS count FROM n
+UNION ALL SELECT 'invalid_label_lines_skipped', cast(id AS varchar), NULL, split, c FROM bad JOIN i USING (id)
+UNION ALL SELECT 'missing_label', cast(id AS varchar), NULL, split, NULL FROM i WHERE id NOT IN (SELECT id FROM lab)""")
+def preparation_manifest(spark, d):
+    from .prepare import prepare
+
+    images = hashes(spark, d).withColumn("sha", F.sha2(F.bin("h"), 256))
+    rows = lines(spark, d).select(F.col("stem").cast("long").alias("id"), "line_no", "line")
+    return prepare(images, rows, {0: "helmet", 1: "gloves"}, NEAR).manifest.select("type", "source", "kept", "split", "count")
+
+
+@query(f"""WITH {D_PAIRS.format(t=NEAR)}, {D_PARSED}, i AS (SELECT id, {D_SPLIT_ID} AS split, 'label' || label AS path FROM b),
+m AS (SELECT 'missing_labels' AS quantity, count(*) AS measured FROM i WHERE id NOT IN (SELECT cast(stem AS bigint) FROM l)
+UNION ALL SELECT 'label_errors', sum(len(string_split(nullif({D_FINAL}, ''), ';'))) FROM v
+UNION ALL SELECT 'degenerate_boxes', count(*) FILTER (WHERE {D_DEGENERATE}) FROM v
+UNION ALL SELECT 'path_collisions', count(*) FROM (SELECT path FROM i GROUP BY path HAVING count(*) > 1)
+UNION ALL SELECT 'crossing_pairs', count(*) FROM p WHERE ({SPLIT.format(k='a')}) <> ({SPLIT.format(k='b')})
+UNION ALL SELECT 'credential_files', count(*) FILTER (WHERE regexp_matches(text, '{D_CREDENTIALS}')) FROM documents
+UNION ALL SELECT 'unexpected_classes', count(DISTINCT cls) FILTER (WHERE cls NOT IN (0, 1)) FROM v WHERE n_fields > 0)
+SELECT quantity, cast(CASE WHEN quantity = 'degenerate_boxes' THEN measured ELSE 0 END AS bigint) AS expected, cast(measured AS bigint) AS measured,
+cast(CASE WHEN quantity = 'degenerate_boxes' THEN 0 ELSE measured END AS bigint) AS difference, quantity = 'degenerate_boxes' OR measured = 0 AS ok FROM m""")
+def final_validation(spark, d):
+    from .validate import checks
+
+    rows = hashes(spark, d).withColumn("path", F.concat(F.lit("label"), F.col("label").cast("string")))
+    texts = table(spark, d, "documents").select(F.col("doc_id").alias("name"), "text")
+    own = lines(spark, d).select(F.col("stem").cast("long").alias("id"), "line_no", "line")
+    return checks(rows, own, [0, 1], hamming.hamming_pairs(rows, NEAR), texts)

@@ -254,3 +254,21 @@ def test_scalars(spark):
 def test_upper_median_of_nothing(spark):
     rows = spark.createDataFrame([("a", None), ("b", 1.0), ("b", 2.0)], "k string, v double")
     assert {r["k"]: r["upper_median"] for r in audit.upper_median(rows, ["k"], "v").collect()} == {"a": 0.0, "b": 2.0}
+
+
+def test_preparation(spark):
+    from sievestone.plans.prepare import prepare
+    from sievestone.plans.validate import validate
+
+    images = spark.createDataFrame([(1, "train", "a", 0), (2, "test", "a", 0), (3, "train", "b", 1), (4, "valid", "c", 255), (5, "train", "d", 1 << 40), (6, "train", "e", 1 << 41 | 7 << 20)], "id long, split string, sha string, h long")
+    lines = spark.createDataFrame([(1, 0, "0 .5 .5 .1 .1"), (2, 0, "0 .5 .5 .1 .1"), (2, 1, "9 .5 .5 .1 .1"), (3, 0, "1 .5 .5 .1 .1"), (4, 0, "2 .5 .5 .1 .1"), (6, 0, "")], "id long, line_no int, line string")
+    made = prepare(images, lines, {0: "Safety_Vest", 1: "gloves", 2: "truck"}, 2)
+    assert {(r["id"], r["split"]): r["text"] for r in made.files.collect()} == {(2, "test"): "3 0.500000 0.500000 0.100000 0.100000\n", (4, "val"): "", (6, "train"): ""}
+    found = {(r["type"], r["source"], r["kept"], r["distance"], r["count"]) for r in made.manifest.collect()}
+    assert found == {("exact_duplicate", "1", "2", None, None), ("near_duplicate", "3", "2", 1, None), ("invalid_label_lines_skipped", "2", None, None, 1), ("missing_label", "5", None, None, None)}
+    good = spark.createDataFrame([(1, 0, "0 .5 .5 .1 .1")], "id long, line_no int, line string")
+    one = spark.createDataFrame([(1, "train", "p")], "id long, split string, path string")
+    none = spark.createDataFrame([], "a long, b long, d int")
+    text = lambda t: spark.createDataFrame([("f", t)], "name string, text string")
+    assert validate(one, good, [0], none, text("fine")).first()["status"] == "PASS"
+    assert validate(one, good, [0], none, text("password")).first()["status"] == "FAIL"
