@@ -90,7 +90,9 @@ class LineRuns:
 def frequent_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, batches: int = BATCHES) -> DataFrame:
     """Digests (h1, h2) of the line keys found in min_docs documents or more."""
     h1, h2 = digests(F.col("key"))
-    found = docs.select(F.pmod(F.xxhash64("text"), F.lit(batches)).alias("batch"), F.explode(F.array_distinct(line_keys(common.whole_text()))).alias("key"))
+    # What is worked out for a text stands below the explode, else it would be for each of its lines.
+    dealt = docs.select(F.pmod(F.xxhash64("text"), F.lit(batches)).alias("batch"), F.array_distinct(line_keys(common.whole_text())).alias("keys"))
+    found = dealt.select("batch", F.explode_outer("keys").alias("key"))
     counted = found.where(F.length("key") >= min_chars).select("batch", h1.alias("h1"), h2.alias("h2")).groupBy("batch", "h1", "h2").agg(F.count("*").alias("docs"))
     counted = common.save(counted, "line-batches")
     runs = LineRuns(min_docs)
@@ -106,7 +108,8 @@ def drop_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_
         frequent = F.broadcast(frequent)
     t1, t2 = digests(common.whole_text())
     h1, h2 = digests(F.col("key"))
-    placed = docs.select(t1.alias("t1"), t2.alias("t2"), F.posexplode(line_keys(common.whole_text())).alias("at", "key")).where(F.length("key") >= min_chars)
+    digested = docs.select(t1.alias("t1"), t2.alias("t2"), line_keys(common.whole_text()).alias("keys"))
+    placed = digested.select("t1", "t2", F.posexplode_outer("keys").alias("at", "key")).where(F.length("key") >= min_chars)
     gone = placed.select("t1", "t2", "at", h1.alias("h1"), h2.alias("h2")).join(frequent, ["h1", "h2"], "left_semi")
     gone = common.save(gone.groupBy("t1", "t2").agg(F.collect_set("at").alias("_gone")), "line-positions")
     rows = docs.withColumns({"_t1": t1, "_t2": t2}).join(gone.withColumnsRenamed({"t1": "_t1", "t2": "_t2"}), ["_t1", "_t2"], "left")
