@@ -8,7 +8,7 @@ are taken around these anchors, the item's shingles that the fewest items have,
 reach S. Each such window gets a SimHash; blocks of the fingerprint, looked up within a radius of their
 own, find all items of the size whose fingerprint is within RADIUS bits, and the weighted similarity of
 the shingles themselves decides. At similarity 0.8 a bit differs with probability 0.15, so 21 of 64 bits
-lose fewer than one in ten thousand of the pairs just at the limit, and practically none above.
+lose about one in ten thousand of the pairs just at the limit, and practically none well above.
 
 Everything is DataFrame functions. The anchors, some tenth of the benchmark's shingles, go to all
 executors in blocks of BLOCK_ANCHORS; a larger benchmark takes more passes over the documents.
@@ -30,10 +30,12 @@ SHINGLE, SIMILARITY = 5, 0.8
 BITS, RADIUS, BLOCKS = 64, 21, 8
 BLOCK_BITS, BLOCK_RADIUS = BITS // BLOCKS, RADIUS // BLOCKS
 BLOCK_ANCHORS = 200_000
+#: Up to this many items, of 296 index rows each, go to all executors; more are joined by a shuffle.
+BROADCAST_ITEMS = 2_000
 
 
-def words(text: Column) -> Column:
-    trimmed = common.strip_space(common.ascii_lower(text))
+def words(trimmed: Column) -> Column:
+    """The words of a text that is lower-cased and stripped."""
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, common.SPACE_CLASS + "+"))
 
 
@@ -47,7 +49,8 @@ def shingle_hashes(word_array: str) -> tuple[Column, Column]:
 def with_shingles(rows: DataFrame, text: Column) -> DataFrame:
     """rows with _words and _shingles (hashes). No filter here: it would be pushed below and split each text twice."""
     made, hashed = shingle_hashes("_words")
-    return rows.withColumn("_words", words(text)).withColumn("_hashed", hashed).withColumn("_shingles", made).drop("_hashed")
+    rows = rows.withColumn("_trimmed", common.strip_space(common.ascii_lower(text))).withColumn("_words", words(F.col("_trimmed")))
+    return rows.withColumn("_hashed", hashed).withColumn("_shingles", made).drop("_hashed", "_trimmed")
 
 
 def simhash(shingles: Column, n: Column) -> Column:
@@ -99,51 +102,80 @@ def anchor_hits(docs: DataFrame, items: DataFrame, similarity: float) -> DataFra
     return common.save(all_hits, "decontaminate-hits")
 
 
-def windows(hits: DataFrame) -> DataFrame:
-    """row, doc_id, text_sha256, n, start, words: each window of size n around an anchor, once."""
-    before = F.lag("at").over(W.partitionBy("row", "n").orderBy("at"))
+def contents(hits: DataFrame) -> DataFrame:
+    """text_sha256, n, at, first, size, words: the hits of each distinct text once, however many documents repeat it."""
+    one = hits.groupBy("text_sha256", "n", "at").agg(F.first(F.struct("first", "size", "words")).alias("c"))
+    return one.select("text_sha256", "n", "at", "c.*")
+
+
+def windows(content: DataFrame) -> DataFrame:
+    """text_sha256, n, at, start, size, fp: each window of size n around an anchor, once. Only fingerprints are kept of it."""
+    before = F.lag("at").over(W.partitionBy("text_sha256", "n").orderBy("at"))
     begin = F.greatest("first", F.coalesce(F.col("before") + 1, F.lit(0)))
-    starts = F.sequence(begin, F.col("at"))
-    rows = hits.withColumn("before", before).select("row", "doc_id", "text_sha256", "n", "first", "size", "words", F.explode(starts).alias("start"))
-    length = F.least(F.col("n"), F.col("size") - F.col("start")) + SHINGLE - 1
-    return rows.select("row", "doc_id", "text_sha256", "n", "start", F.slice("words", F.col("start") - F.col("first") + 1, length).alias("words"))
+    made, hashed = shingle_hashes("words")
+    rows = content.withColumn("before", before).withColumn("_hashed", hashed).withColumn("_shingles", made)
+    rows = rows.select("text_sha256", "n", "at", "first", "size", "_shingles", F.explode(F.sequence(begin, F.col("at"))).alias("start"))
+    length = F.least(F.col("n"), F.col("size") - F.col("start"))
+    rows = rows.withColumn("_window", F.slice("_shingles", F.col("start") - F.col("first") + 1, length))
+    return rows.select("text_sha256", "n", "at", "start", simhash(F.col("_window"), F.size("_window")).alias("fp"))
 
 
 def text_shingles(word_array: Column) -> Column:
     return F.transform(F.sequence(F.lit(0), F.size(word_array) - SHINGLE), lambda i: F.concat_ws(" ", F.slice(word_array, i + 1, SHINGLE)))
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """doc_id, row, text_sha256, item_id, start, similarity: the best window for each document and item of that similarity or more."""
-    items = common.save(item_table(benchmark), "decontaminate-items")
-    placed = common.save(windows(anchor_hits(docs, items, similarity)), "decontaminate-windows")
-    # Copies of a passage share their windows: each distinct one is looked up once.
-    kinds = placed.groupBy("n", "words").agg(F.count("*").alias("copies"))
-    made, hashed = shingle_hashes("words")
-    kinds = kinds.withColumn("_hashed", hashed).withColumn("shingles", made).drop("_hashed", "copies")
-    kinds = common.save(kinds.withColumn("fp", simhash(F.col("shingles"), F.size("shingles"))).withColumn("kind", F.monotonically_increasing_id()), "decontaminate-kinds")
+def near_items(placed: DataFrame, items: DataFrame, few: bool) -> DataFrame:
+    """The windows (text_sha256, n, at, start, fp) with the items of their size within RADIUS bits."""
     item_fp = items.withColumn("item_fp", simhash(F.col("shingles"), F.col("n")))
     masks = F.array(*(F.lit(m).cast("long") for m in near_masks()))
     index = item_fp.select("item_id", "n", "item_fp", F.inline(block_values(F.col("item_fp")))).select("item_id", "n", "item_fp", "block", F.explode(F.transform(masks, lambda m: m.bitwiseXOR(F.col("value")))).alias("value"))
-    probes = kinds.select("kind", "n", "fp", F.inline(block_values(F.col("fp"))))
-    pairs = probes.join(index, ["n", "block", "value"]).where(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= RADIUS).select("kind", "item_id").distinct()
+    probes = placed.select("text_sha256", "n", "at", "start", "fp", F.inline(block_values(F.col("fp"))))
+    near = probes.join(F.broadcast(index) if few else index, ["n", "block", "value"]).where(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= RADIUS)
+    return near.select("text_sha256", "n", "at", "start", "item_id").distinct()
+
+
+def text_matches(hits: DataFrame, items: DataFrame, similarity: float) -> DataFrame:
+    """text_sha256, item_id, start_word, similarity: the best window of each distinct text and item."""
+    few = items.count() <= BROADCAST_ITEMS
+    content = common.save(contents(hits), "decontaminate-contents")
+    pairs = near_items(windows(content), items, few)
+    made, hashed = shingle_hashes("words")
+    region = content.withColumn("_hashed", hashed).withColumn("_shingles", made).select("text_sha256", "n", "at", "first", "size", "words", "_shingles")
+    table = items.select("item_id", F.col("shingles").alias("_item"))
+    both = pairs.join(region, ["text_sha256", "n", "at"]).join(F.broadcast(table) if few else table, "item_id")
+    length, skip = F.least(F.col("n"), F.col("size") - F.col("start")), F.col("start") - F.col("first") + 1
+    both = both.withColumn("_window", F.slice("_shingles", skip, length))
+    # Distinct hashes in common and repeats are at least the shingles in common: windows that cannot reach the similarity go.
+    repeats = F.least(F.size("_window") - F.size(F.array_distinct("_window")), F.size("_item") - F.size(F.array_distinct("_item")))
+    most = F.size(F.array_intersect("_window", "_item")) + repeats
+    both = both.where(most >= similarity * (F.size("_window") + F.size("_item") - most) - 1e-9)
+    chosen = common.save(both.select("text_sha256", "item_id", "n", "start", F.slice("words", skip, length + SHINGLE - 1).alias("w")), "decontaminate-chosen")
     # Weighted similarity of the shingles themselves.
-    window_counts = kinds.select("kind", F.size("shingles").alias("size"), F.explode(text_shingles(F.col("words"))).alias("s")).groupBy("kind", "size", "s").agg(F.count("*").alias("a"))
-    item_counts = items.select("item_id", "n", F.explode(text_shingles(F.col("words"))).alias("s")).groupBy("item_id", "n", "s").agg(F.count("*").alias("b"))
-    shared = pairs.join(window_counts, "kind").join(item_counts, ["item_id", "s"]).groupBy("kind", "item_id", "size", "n").agg(F.sum(F.least("a", "b")).alias("both"))
-    alike = shared.withColumn("similarity", F.col("both") / (F.col("size") + F.col("n") - F.col("both"))).where(F.col("similarity") >= similarity)
-    alike = alike.join(kinds.select("kind", "words"), "kind").select("n", "words", "item_id", "similarity")
-    found = placed.join(alike, ["n", "words"])
+    shingled = chosen.withColumn("w", text_shingles(F.col("w")))
+    counted = shingled.select("text_sha256", "item_id", "n", "start", F.size("w").alias("size"), F.explode_outer("w").alias("s")).groupBy("text_sha256", "item_id", "n", "start", "size", "s").agg(F.count("*").alias("a"))
+    item_counts = items.select("item_id", F.explode(text_shingles(F.col("words"))).alias("s")).groupBy("item_id", "s").agg(F.count("*").alias("b"))
+    shared = counted.join(item_counts, ["item_id", "s"]).groupBy("text_sha256", "item_id", "n", "start", "size").agg(F.sum(F.least("a", "b")).alias("both"))
+    alike = shared.select("text_sha256", "item_id", "start", (F.col("both") / (F.col("size") + F.col("n") - F.col("both"))).alias("similarity")).where(F.col("similarity") >= similarity)
     best = F.max_by(F.struct("start", "similarity"), F.struct("similarity", -F.col("start")))
-    return found.groupBy("row", "doc_id", "text_sha256", "item_id").agg(best.alias("best")).select("row", "doc_id", "text_sha256", "item_id", F.col("best.start").cast("long").alias("start_word"), "best.similarity")
+    found = alike.groupBy("text_sha256", "item_id").agg(best.alias("best"))
+    return found.select("text_sha256", "item_id", F.col("best.start").cast("long").alias("start_word"), "best.similarity")
+
+
+def matches(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """doc_id, item_id, start_word, similarity: the best window of each document and item of that similarity or more."""
+    items = common.save(item_table(benchmark), "decontaminate-items")
+    hits = anchor_hits(docs, items, similarity)
+    holders = hits.select("row", "doc_id", "text_sha256").distinct()
+    return holders.join(text_matches(hits, items, similarity), "text_sha256").select("doc_id", "item_id", "start_word", "similarity")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, start_word, similarity for each document and item that it holds."""
-    return matches(docs, benchmark).select("doc_id", "item_id", "start_word", F.round("similarity", 6).alias("similarity"))
+    return matches(docs, benchmark).withColumn("similarity", F.round("similarity", 6))
 
 
-def without_benchmark(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def without_benchmark(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The rows of docs that hold no item, with their columns. What a document holds depends on its text alone."""
-    held = matches(docs, benchmark).select(F.col("text_sha256").alias("_held")).distinct()
+    items = common.save(item_table(benchmark), "decontaminate-items")
+    held = text_matches(anchor_hits(docs, items, similarity), items, similarity).select(F.col("text_sha256").alias("_held")).distinct()
     return docs.withColumn("_digest", F.sha2(common.whole_text(), 256)).join(held, F.col("_digest") == F.col("_held"), "left_anti").drop("_digest")
