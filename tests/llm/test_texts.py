@@ -170,6 +170,19 @@ def test_models_are_averaged_in_a_tree(spark, monkeypatch):
     assert made.count() == 40
 
 
+def test_no_documents(spark):
+    none = docs(spark, [])
+    assert gru_lm.document_log_probs(none).count() == 0
+    assert bpe_trie.encoding_digests(none).count() == bpe_trie.encode_texts(none).count() == 0
+    assert token_cache.token_counts(none).count() == 0
+
+
+def test_scores_without_training_documents(spark):
+    held_out = [i for i in range(200) if zlib.crc32(str(i).encode()) % 7 == 2][:5]
+    made = gru_lm.document_log_probs(docs(spark, [(i, "a b", None) for i in held_out])).collect()
+    assert {(r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"]) for r in made} == {(3, 0, 0, 0.0)}
+
+
 # Toxicity
 
 
@@ -289,6 +302,10 @@ def test_random_strings_are_found_and_names_are_not(spark):
     assert all(re.fullmatch(r"random:4:\d+", s) for s in spans)
 
 
+def test_numbers_are_no_letters():
+    assert langid.LETTERS.findall("½ ² Ⅻ ab½cd_e1é 一二 x") == ["ab", "cd", "e", "é", "一二", "x"]
+
+
 def test_secrets_of_no_rows(spark):
     assert secret_scan.secrets(docs(spark, [])).count() == 0
 
