@@ -32,6 +32,8 @@ BLOCK_BITS, BLOCK_RADIUS = BITS // BLOCKS, RADIUS // BLOCKS
 BLOCK_ANCHORS = 200_000
 #: Up to this many items, of 296 index rows each, go to all executors; more are joined by a shuffle.
 BROADCAST_ITEMS = 2_000
+#: Up to this many digests of texts that hold an item go to all executors; more are joined by a shuffle.
+BROADCAST_TEXTS = 200_000
 
 
 def words(trimmed: Column) -> Column:
@@ -177,5 +179,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def without_benchmark(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The rows of docs that hold no item, with their columns. What a document holds depends on its text alone."""
     items = common.save(item_table(benchmark), "decontaminate-items")
-    held = text_matches(anchor_hits(docs, items, similarity), items, similarity).select(F.col("text_sha256").alias("_held")).distinct()
+    held = common.save(text_matches(anchor_hits(docs, items, similarity), items, similarity).select(F.col("text_sha256").alias("_held")).distinct(), "decontaminate-held")
+    if held.count() <= BROADCAST_TEXTS:
+        held = F.broadcast(held)
     return docs.withColumn("_digest", F.sha2(common.whole_text(), 256)).join(held, F.col("_digest") == F.col("_held"), "left_anti").drop("_digest")
