@@ -14,6 +14,8 @@ empty result; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import sys
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -24,6 +26,7 @@ from pyspark.sql import functions as F
 from . import common
 from .bpe_words import ByteVocabulary
 
+assert array("I").itemsize == 4 and sys.byteorder == "little"
 #: Nodes of the trie, stored words and compatible pairs of a worker; beyond one of them, that store starts anew.
 MAX_NODES, MAX_WORDS, MAX_PAIRS = 600_000, 250_000, 300_000
 #: Words longer than this many bytes are encoded without staying in the trie.
@@ -33,7 +36,8 @@ LONG_WORD = 64
 class TrieEncoder:
     def __init__(self, vocabulary: ByteVocabulary) -> None:
         self.vocabulary = vocabulary
-        self.compatible_pairs: dict[tuple[int, int], bool] = {}
+        #: By left << 20 | right.
+        self.compatible_pairs: dict[int, bool] = {}
         self.blobs: dict[str, bytes] = {}
         self._clear()
 
@@ -55,41 +59,41 @@ class TrieEncoder:
         return ids
 
     def compatible(self, a: int, b: int) -> bool:
-        found = self.compatible_pairs.get((a, b))
-        if found is None:
-            if len(self.compatible_pairs) > MAX_PAIRS:
-                self.compatible_pairs.clear()
-            found = self.merge(self.vocabulary.bytes_of[a] + self.vocabulary.bytes_of[b]) == [a, b]
-            self.compatible_pairs[a, b] = found
+        if len(self.compatible_pairs) > MAX_PAIRS:
+            self.compatible_pairs.clear()
+        found = self.compatible_pairs[a << 20 | b] = self.merge(self.vocabulary.bytes_of[a] + self.vocabulary.bytes_of[b]) == [a, b]
         return found
 
-    def insert(self, word: bytes) -> list[int]:
-        """The nodes of all prefixes of a word, the root first; new nodes have no token yet."""
-        child, last, before = self.child, self.last, self.before
-        node, path = 0, [0]
-        for byte in word:
-            key = node << 8 | byte
+    def walk(self, word: bytes, before: bytes = b"", path: list[int] | None = None) -> list[int]:
+        """The nodes of all prefixes of a word, the root first. New nodes get their last token; in byte order, which makes this a depth-first walk, the path of the word before is shared as far as the words are equal."""
+        child, last, token_of, known = self.child, self.last, self.vocabulary.tokens.get, self.compatible_pairs.get
+        longest, shared = self.vocabulary.longest, 0
+        for x, y in zip(word, before):
+            if x != y:
+                break
+            shared += 1
+        path = path[: shared + 1] if path else [0]
+        node = path[-1]
+        for end in range(len(path), len(word) + 1):
+            key = node << 8 | word[end - 1]
             node = child.get(key, 0)
             if not node:
+                for start in range(max(0, end - longest), end):
+                    token = token_of(word[start:end])
+                    if token is None:
+                        continue
+                    if start:
+                        left = last[path[start]]
+                        fits = known(left << 20 | token)
+                        if not (self.compatible(left, token) if fits is None else fits):
+                            continue
+                    break
                 node = child[key] = len(last)
-                last.append(-1)
-                before.append(-1)
+                last.append(token)
+                self.before.append(path[start])
             path.append(node)
         return path
 
-    def settle(self, word: bytes, path: list[int]) -> None:
-        """Give each prefix of a word without a last token its own; words in byte order make this a depth-first walk."""
-        last, before, tokens = self.last, self.before, self.vocabulary.tokens
-        longest = self.vocabulary.longest
-        for end in range(1, len(word) + 1):
-            if last[path[end]] >= 0:
-                continue
-            for start in range(max(0, end - longest), end):
-                token = tokens.get(word[start:end])
-                if token is not None and (start == 0 or self.compatible(last[path[start]], token)):
-                    last[path[end]], before[path[end]] = token, path[start]
-                    break
-
     def read(self, node: int) -> list[int]:
         ids = []
         while node:
@@ -98,23 +102,24 @@ class TrieEncoder:
         return ids[::-1]
 
     def encode_word(self, word: bytes) -> list[int]:
-        path = self.insert(word)
-        self.settle(word, path)
-        return self.read(path[-1])
+        return self.read(self.walk(word)[-1])
 
     def learn(self, words: Iterable[str]) -> None:
         """Store the ids of words as little-endian 32-bit integers."""
-        for text in sorted(words):
-            word = text.encode()
+        before, path = b"", None
+        for word in sorted(map(str.encode, words)):
             if len(word) > LONG_WORD:
                 once = TrieEncoder(self.vocabulary)
                 once.compatible_pairs = self.compatible_pairs
                 ids = once.encode_word(word)
             else:
-                ids = self.encode_word(word)
-            self.blobs[text] = np.array(ids, "<u4").tobytes()
+                path = self.walk(word, before, path)
+                before = word
+                ids = self.read(path[-1])
+            self.blobs[word.decode()] = array("I", ids).tobytes()
             if len(self.last) > MAX_NODES:
                 self._clear()
+                before, path = b"", None
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """For each text, its ids as little-endian unsigned 32-bit integers."""
@@ -159,11 +164,10 @@ def slices(texts: list[str]) -> Iterator[list[str]]:
 
 
 def encoder(path: str | None) -> TrieEncoder:
-    kept = common.worker_cache()
-    key = "trie encoder", path
-    if key not in kept:
-        kept[key] = TrieEncoder(ByteVocabulary.cached(path))
-    return kept[key]
+    """A fresh encoder for a task: only the vocabulary and the compatible pairs stay in the worker, whose memory other stages need."""
+    made = TrieEncoder(ByteVocabulary.cached(path))
+    made.compatible_pairs = common.worker_cache().setdefault(("compatible pairs", path), made.compatible_pairs)
+    return made
 
 
 def encode_texts(docs: DataFrame, path: str | None = None) -> DataFrame:

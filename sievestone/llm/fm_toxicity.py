@@ -86,7 +86,7 @@ def fit(examples: list[np.ndarray], labels: list[int]) -> FactorizationMachine:
         return FactorizationMachine(0.0, {}, {})
     rng = np.random.default_rng(SEED)
     used = np.unique(np.concatenate([*examples, np.zeros(0, np.int64)])).astype(np.int64)
-    rows = [np.searchsorted(used, e) for e in examples]
+    rows = [np.searchsorted(used, e).astype(np.int32) for e in examples]
     z, n = np.zeros(len(used)), np.zeros(len(used))
     v, g2 = rng.normal(0, 0.05, (len(used), FACTORS)), np.full((len(used), FACTORS), 1e-2)
     share = min(max(sum(labels) / len(labels), 1e-3), 1 - 1e-3)
