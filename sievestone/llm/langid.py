@@ -16,8 +16,10 @@ columns are ignored.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +38,17 @@ SMOOTH = 0.5
 #: A language uses a script if this share of its training words does.
 SCRIPT_SHARE = 0.005
 UNKNOWN = "und"
-LETTERS = re.compile(r"[^\W\d_]+")
+
+
+def other_numbers() -> str:
+    """Ranges of the characters that are alphanumeric to regular expressions, but neither letters nor digits, such as a half."""
+    odd = [k for k in range(0x110000) if (c := chr(k)).isalnum() and not c.isalpha()]
+    starts = [k for k in odd if not (chr(k - 1).isalnum() and not chr(k - 1).isalpha())]
+    ends = [k for k in odd if not (chr(k + 1).isalnum() and not chr(k + 1).isalpha())]
+    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in zip(starts, ends))
+
+
+LETTERS = re.compile(rf"[^\W\d_{other_numbers()}]+")
 MAX_WORDS = 200_000
 #: Words of a group of texts times texts, padded; bounds the memory of back pointers.
 CELLS = 1_000_000
@@ -53,19 +65,39 @@ STARTS = [s for s, _ in SCRIPTS]
 NAMES = sorted({n for _, n in SCRIPTS})
 
 
+NUMBERS = [NAMES.index(n) for _, n in SCRIPTS]
+
+
 def script(word: str) -> int:
-    from bisect import bisect_right
+    return NUMBERS[bisect_right(STARTS, ord(word[0])) - 1]
 
-    return NAMES.index(SCRIPTS[bisect_right(STARTS, ord(word[0])) - 1][1])
 
+class Buckets(dict):
+    """Buckets of strings; those of at most three letters are kept."""
 
-def features(word: str) -> list[int]:
-    """Buckets of the padded word's trigrams and of the word itself."""
-    import xxhash
+    def __missing__(self, part: str) -> int:
+        import xxhash
 
+        bucket = xxhash.xxh32_intdigest(part.encode()) % BUCKETS
+        if len(part) <= 3 and len(self) < MAX_WORDS:
+            self[part] = bucket
+        return bucket
+
+
+def features(word: str, buckets: Buckets) -> list[int]:
+    """Buckets of the padded word's trigrams and of the word itself."""
     padded = f"<{word}>"
-    parts = {padded[k : k + 3] for k in range(len(padded) - 2)} | {padded}
-    return [xxhash.xxh32_intdigest(p.encode()) % BUCKETS for p in parts]
+    parts = {padded[k : k + 3] for k in range(len(padded) - 2)}
+    parts.add(padded)
+    return [buckets[p] for p in parts]
+
+
+class Words(dict):
+    """Numbers of words, given in the order in which they come."""
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        return number
 
 
 @dataclass
@@ -74,36 +106,47 @@ class LanguageModel:
     #: languages x BUCKETS, and languages x scripts.
     log_prob: np.ndarray
     uses: np.ndarray
-    known: dict[str, int] = field(default_factory=dict)
-    table: list[np.ndarray] = field(default_factory=list)
+    words: Words = field(default_factory=Words)
+    buckets: Buckets = field(default_factory=Buckets)
+    table: np.ndarray = field(default_factory=lambda: np.zeros((0, 0), np.float32))
+    letters: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
 
     def parts(self) -> tuple:
         return self.languages, self.log_prob, self.uses
 
-    def word_scores(self, word: str) -> np.ndarray:
-        fit = self.log_prob[:, features(word)].mean(1) * min(len(word), 8)
-        allowed = self.uses[:, script(word)]
-        return np.where(allowed, fit, -1e6) if allowed.any() else fit
-
-    def rows(self, words: list[str]) -> np.ndarray:
-        for w in set(words).difference(self.known):
-            self.known[w] = len(self.table)
-            self.table.append(self.word_scores(w))
-        return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
-
-    def paths(self, texts: list[list[str]]) -> list[np.ndarray]:
-        """For each list of words, the language number of each word."""
-        if len(self.known) > MAX_WORDS:
-            self.known, self.table = {}, []
-        ids = [self.rows(t) for t in texts]
-        if not self.table:
-            return [np.zeros(0, np.int8) for _ in texts]
-        emit = np.array(self.table, np.float32)
-        out: list[np.ndarray] = [np.zeros(0, np.int8)] * len(texts)
-        order = sorted((k for k in range(len(texts)) if len(ids[k])), key=lambda k: -len(ids[k]))
+    def scores(self, words: list[str]) -> np.ndarray:
+        """words x languages."""
+        found = [features(w, self.buckets) for w in words]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        flat = np.fromiter(chain.from_iterable(found), np.int64, int(sizes.sum()))
+        means = np.add.reduceat(self.log_prob.take(flat, axis=1), np.cumsum(sizes) - sizes, axis=1) / sizes
+        fit = means * np.minimum(np.fromiter(map(len, words), np.int64, len(words)), 8)
+        allowed = self.uses[:, [script(w) for w in words]]
+        return np.where(allowed | ~allowed.any(0), fit, -1e6).T.astype(np.float32)
+
+    def numbers(self, words: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.words.__getitem__, words), np.int32, len(words))
+
+    def learn(self) -> None:
+        """Score the words that got a number since the last time, some thousands at once."""
+        new = list(islice(self.words, len(self.letters), None))
+        made = [self.scores(new[k : k + 20_000]) for k in range(0, len(new), 20_000)]
+        if made:
+            self.table = np.concatenate([self.table, *made] if len(self.table) else made)
+            self.letters = np.concatenate([self.letters, np.fromiter(map(len, new), np.int64, len(new))])
+
+    def forget(self) -> None:
+        if len(self.words) > MAX_WORDS:
+            self.words, self.table, self.letters = Words(), self.table[:0], self.letters[:0]
+
+    def paths(self, ids: list[np.ndarray]) -> list[np.ndarray]:
+        """For each text's word numbers, the language number of each word."""
+        self.learn()
+        out: list[np.ndarray] = [np.zeros(0, np.int8)] * len(ids)
+        order = sorted((k for k in range(len(ids)) if len(ids[k])), key=lambda k: -len(ids[k]))
         while order:
             lanes = max(1, CELLS // len(ids[order[0]]))
-            for k, path in zip(order[:lanes], self._viterbi([ids[k] for k in order[:lanes]], emit)):
+            for k, path in zip(order[:lanes], self._viterbi([ids[k] for k in order[:lanes]], self.table)):
                 out[k] = path
             order = order[lanes:]
         return out
@@ -147,6 +190,7 @@ def train(docs: DataFrame, max_train: int = MAX_TRAIN) -> LanguageModel:
         """Counts by language: buckets 0..BUCKETS-1 are features, the rest scripts."""
         seen: dict[str, np.ndarray] = {}
         kept: dict[str, np.ndarray] = {}
+        buckets = Buckets()
         for b in batches:
             for lang, text in zip(b.column("lang").to_pylist(), b.column("text").to_pylist()):
                 counts = seen.setdefault(lang, np.zeros(BUCKETS + scripts, np.int64))
@@ -155,7 +199,7 @@ def train(docs: DataFrame, max_train: int = MAX_TRAIN) -> LanguageModel:
                     if w not in kept:
                         if len(kept) > MAX_WORDS:
                             kept.clear()
-                        kept[w] = np.array([*features(w), BUCKETS + script(w)])
+                        kept[w] = np.array([*features(w, buckets), BUCKETS + script(w)])
                     rows.append(kept[w])
                 if rows:
                     counts += np.bincount(np.concatenate(rows), minlength=len(counts))
@@ -189,9 +233,9 @@ def languages(docs: DataFrame, model: LanguageModel | None = None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = LanguageModel(*shared.value)
         for b in batches:
-            words = [LETTERS.findall(t.lower()) for t in b.column("text").to_pylist()]
-            paths = m.paths(words) if m.languages else [np.zeros(0, np.int8) for _ in words]
-            votes = [vote(p, np.fromiter(map(len, w), np.float64, len(w)), m.languages) for p, w in zip(paths, words)]
+            m.forget()
+            ids = [m.numbers(LETTERS.findall(t.lower()) if m.languages else []) for t in b.column("text").to_pylist()]
+            votes = [vote(p, m.letters[i], m.languages) for p, i in zip(m.paths(ids), ids)]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([v[0] for v in votes], pa.string()), pa.array([v[1] for v in votes], pa.float64())], names=["doc_id", "lang_pred", "score"])
 
     common.python_batches(docs.sparkSession)
@@ -206,8 +250,9 @@ def spans(docs: DataFrame, model: LanguageModel | None = None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = LanguageModel(*shared.value)
         for b in batches:
-            found = [list(LETTERS.finditer(t)) for t in b.column("text").to_pylist()]
-            paths = m.paths([[x[0].lower() for x in f] for f in found]) if m.languages else [()] * len(found)
+            m.forget()
+            found = [list(LETTERS.finditer(t)) if m.languages else [] for t in b.column("text").to_pylist()]
+            paths = m.paths([m.numbers([x[0].lower() for x in f]) for f in found])
             rows = []
             for i, words, path in zip(b.column("doc_id").to_pylist(), found, paths):
                 for k, lang in enumerate(path):
