@@ -25,8 +25,8 @@ from .bpe_words import ByteVocabulary, file_digest
 
 LIMIT = 512
 CACHE = "content_sha256 string, tokenizer_sha256 string, n_tokens long"
-#: Words of which a worker keeps the counts; beyond them it starts anew.
-MAX_WORDS = 500_000
+#: Words of which a task keeps the counts; beyond them it starts anew.
+MAX_WORDS = 300_000
 
 
 class WordCounts:
@@ -53,14 +53,6 @@ class WordCounts:
         return [sum(1 if isinstance(p, int) else sum(map(get, p)) for p in parts) for parts in split]
 
 
-def word_counts(path: str | None) -> WordCounts:
-    kept = common.worker_cache()
-    key = "word counts", path
-    if key not in kept:
-        kept[key] = WordCounts(ByteVocabulary.cached(path))
-    return kept[key]
-
-
 class TokenCache:
     """A cache table at a path; with none, a fresh one in the shared folder."""
 
@@ -83,7 +75,7 @@ class TokenCache:
         tokenizer, version = self.tokenizer, self.version
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            counts = word_counts(tokenizer)
+            counts = WordCounts(ByteVocabulary.cached(tokenizer))
             for b in batches:
                 texts = b.column("text").to_pylist()
                 n = [x for k in range(0, len(texts), 1024) for x in counts.count(texts[k : k + 1024])]
@@ -99,7 +91,8 @@ class TokenCache:
         self.add_missing(docs)
         text = common.whole_text()
         rows = docs.select("doc_id", F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text, 256).alias("content_sha256"))
-        return rows.join(self.stored(), "content_sha256", "left").select("doc_id", "n_bytes", "n_tokens")
+        # Stored once more, without the grouping above it, so that the join may split a content that many rows share.
+        return rows.join(common.save(self.stored(), "token-counts"), "content_sha256", "left").select("doc_id", "n_bytes", "n_tokens")
 
 
 def token_counts(docs: DataFrame, limit: int = LIMIT, cache: str | None = None, tokenizer: str | None = None) -> DataFrame:
