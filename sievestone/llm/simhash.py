@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from ..operators.graph import connected_components
 from . import common
+from .near_copies import keep_one  # noqa: F401
 
 BITS, RADIUS, SHINGLE, SEED = 64, 2, 3, 42
 #: Cells of a part's histogram. Parts of up to 16 bits are counted exactly; wider ones share cells, which only raises an estimate.
@@ -214,13 +215,3 @@ def near_components(docs: DataFrame) -> DataFrame:
     prints = common.save(fingerprints(docs, "doc_id"), "simhash-prints")
     groups = fingerprint_components(prints)
     return prints.join(groups, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
-
-
-def keep_one(docs: DataFrame) -> DataFrame:
-    """The row with the smallest doc_id of each component of docs, with the columns of docs."""
-    row = "_simhash_row"
-    rows = common.save(docs.withColumn(row, F.monotonically_increasing_id()), "simhash-docs")
-    prints = common.save(fingerprints(rows, row, "doc_id"), "simhash-prints")
-    ranked = prints.select("fp", row, F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", row).alias("rank"))
-    best = fingerprint_components(ranked, "rank").select(F.col(f"component_id.{row}").alias(row)).distinct()
-    return rows.join(best, row, "left_semi").drop(row)

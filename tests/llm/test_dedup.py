@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 import xxhash
 from compare import assert_same, connect
-from sievestone.llm import content_sort, line_runs, simhash
+from sievestone.llm import content_sort, line_runs, near_copies, simhash
 from sievestone.llm.queries import ORACLES, QUERIES
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, score double, row long, fp long, run long"
@@ -224,3 +224,50 @@ def test_runs_by_level(spark):
     assert [len(level) for level in runs.levels] == [1, 0, 1]
     assert {(r["h1"], r["docs"]) for r in runs.total().collect()} == {(1, 3), (2, 3)}  # settled digests are not counted on
     assert runs.frequent().count() == 2
+
+
+def near_texts():
+    """Texts with edits on both sides of similarity 0.8, a crowd around one text, and texts with repeats."""
+    rng = random.Random(21)
+    text = lambda n: [f"w{rng.randrange(900)}" for _ in range(n)]
+    rows, crowd = [], text(120)
+    for k in range(40):
+        base = text(rng.choice([5, 9, 60, 100, 300]))
+        for _ in range(3):
+            new = list(base)
+            for _ in range(rng.randint(0, 3)):
+                new[rng.randrange(len(new))] = "changed"
+            rows.append(" ".join(new))
+    for k in range(80):
+        new = list(crowd)
+        for _ in range(rng.randint(1, 4)):
+            new[rng.randrange(len(new))] = f"v{k}"
+        rows.append(" ".join(new))
+    rows += ["a b c d", "A  b c d", "a b c e", "", None, "again " * 50, "again " * 60, "again " * 80]
+    rng.shuffle(rows)
+    return list(enumerate(rows))
+
+
+@pytest.mark.parametrize("least_crowd", [2, 16])
+def test_similar_texts_leave_one(spark, monkeypatch, least_crowd):
+    """Against all pairs by weighted five-word similarity of 0.8, with the way of crowds for most buckets or for large ones."""
+    monkeypatch.setattr(near_copies, "SMALL", least_crowd)
+    rows = near_texts()
+    words = {i: (t or "").lower().split() for i, t in rows}
+    bags = {i: Counter(tuple(w[k : k + 5]) for k in range(len(w) - 4)) for i, w in words.items()}
+    parent = {i: i for i in words}
+
+    def find(a):
+        while parent[a] != a:
+            a = parent[a]
+        return a
+
+    beyond = 0
+    for a in words:
+        for b in range(a):
+            both, every = (bags[a] & bags[b]).total(), (bags[a] | bags[b]).total()
+            if words[a] == words[b] or every and 5 * both >= 4 * every:
+                beyond += (expected_print(rows[a][1]) ^ expected_print(rows[b][1])).bit_count() > 2
+                parent[max(find(a), find(b))] = min(find(a), find(b))
+    assert beyond > 20
+    assert sorted(r["doc_id"] for r in near_copies.keep_one(docs(spark, rows)).collect()) == sorted({find(i) for i in words})
