@@ -1,6 +1,6 @@
 """Secrets in texts: fixed patterns, and a battery of randomness tests for what they miss.
 
-Runs of encoding characters that hold a digit are candidates. Each gets the smallest encoding that has
+Runs of 16 encoding characters or more are candidates, with or without digits. Each gets the smallest encoding that has
 all its characters, and three tests of the hypothesis that its symbols are random draws from it:
 chi-squared for uniform use of the alphabet's quarters, the runs test about the alphabet's middle, and
 the lag-one serial correlation. Fisher's method combines them to p: even for random strings, near zero
@@ -32,7 +32,7 @@ ASSIGN_CHARS = 6
 # A longest run of 20 or 24 characters, as the shorter runs do not count.
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"(?<![0-9a-f])[0-9a-f]{24,}"
-RANDOM = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{20,}={0,2}"
+RANDOM = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}"
 KINDS = ("assign", "access", "hex", "random")
 
 #: Encodings from the smallest: name, its characters as a class, its alphabet in order.

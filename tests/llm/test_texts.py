@@ -302,6 +302,19 @@ def test_random_strings_are_found_and_names_are_not(spark):
     assert all(re.fullmatch(r"random:4:\d+", s) for s in spans)
 
 
+def test_short_and_letter_only_random_strings_are_found(spark):
+    rng = random.Random(17)
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    key = lambda symbols, n: "".join(rng.choice(symbols) for _ in range(n))
+    rows = [(k, f"key {key(upper + '234567', 16)} end", None) for k in range(100)]
+    rows += [(100 + k, f"key {key(upper + upper.lower(), 40)} end", None) for k in range(100)]
+    rows += [(1000 + k, f"the internationalization-of-incomprehensibilities and responsibilities/{'of' * (k % 9)}", None) for k in range(200)]
+    made = {r["doc_id"]: r["n_random"] for r in secret_scan.secrets(docs(spark, rows)).collect()}
+    assert sum(made[k] for k in range(100)) >= 85
+    assert sum(made[k] for k in range(100, 200)) >= 75
+    assert sum(n for k, n in made.items() if k >= 1000) == 0
+
+
 def test_numbers_are_no_letters():
     assert langid.LETTERS.findall("½ ² Ⅻ ab½cd_e1é 一二 x") == ["ab", "cd", "e", "é", "一二", "x"]
 
