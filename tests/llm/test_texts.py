@@ -315,6 +315,120 @@ def test_short_and_letter_only_random_strings_are_found(spark):
     assert sum(n for k, n in made.items() if k >= 1000) == 0
 
 
+def normal_above(z):
+    return 0.5 * math.erfc(z / 2**0.5)
+
+
+def gamma_above(x, mean, freedom):
+    return normal_above(((max(x, 0) / mean) ** (1 / 3) - (1 - 2 / (9 * freedom))) / (2 / (9 * freedom)) ** 0.5)
+
+
+def expected_p(value):
+    """The battery in plain Python: (encoding, p)."""
+    body = value.rstrip("=")
+    at = next(k for k, e in enumerate(secret_scan.ENCODINGS) if re.fullmatch(f"{e[1]}+", body))
+    _, _, natural, frequent = secret_scan.ENCODINGS[at]
+    n, k = len(body), len(natural)
+    m = max(3, min(k // 2, n // 5))
+    m -= m % 2 == 0
+    seen = Counter(frequent.index(c) for c in body)
+    cells, widths = Counter(), Counter(v * m // k for v in range(k))
+    for v, c in seen.items():
+        cells[v * m // k] += c
+    chi = sum((cells[q] - n * widths[q] / k) ** 2 / (n * widths[q] / k) for q in range(m))
+    within = k / n * sum(c * c for c in seen.values()) - n - chi
+    ps = [math.exp(-chi / 2) * sum((chi / 2) ** i / math.factorial(i) for i in range((m - 1) // 2)), gamma_above(within, k - m, (k - m) * n / (n - 1))]
+    x = [natural.index(c) for c in body]
+    high = [2 * v >= k for v in x]
+    n1, runs = sum(high), 1 + sum(a != b for a, b in zip(high, high[1:]))
+    mu = 2 * n1 * (n - n1) / n + 1
+    var = (mu - 1) * (mu - 2) / (n - 1)
+    c = [v - sum(x) / n for v in x]
+    squares = sum(v * v for v in c)
+    serial = sum(a * b for a, b in zip(c, c[1:])) / squares if squares else 0
+    zs = [(runs - mu) / var**0.5 if var > 0 else 40, (serial + 1 / n) * n * (n - 1) ** 0.5 / (n - 2) if squares else 40]
+    ps += [2 * normal_above(min(abs(z), 8)) for z in zs]
+    fisher = sum(-2 * math.log(min(max(p, 1e-12), 1)) for p in ps)
+    return at, gamma_above(fisher, 2 * secret_scan.TESTS, secret_scan.FREEDOM)
+
+
+LENGTHS = (16, 20, 21, 24, 31, 32, 48, 64, 128)
+
+
+def random_strings(rng, n):
+    """n random strings of each encoding, with the encoding that they get."""
+    return ["".join(rng.choice(sorted(set(natural))) for _ in range(rng.choice(LENGTHS))) for _, _, natural, _ in secret_scan.ENCODINGS[1:] for _ in range(n)]
+
+
+def test_the_battery_equals_plain_python_and_is_even(spark):
+    rng = random.Random(23)
+    values = random_strings(rng, 500)
+    odd = ["a" * 16, "ab" * 9, "A" * 40 + "=", "0123456789abcdef" * 4, "0GWm" * 8, "report_of_the_year_1990", "abcdefghijklmnopqrstuvwxyz", "1" * 5000, "AbC+/-_" * 9]
+    made = secret_scan.tested(spark.createDataFrame([(k, v) for k, v in enumerate(values + odd)], "k int, value string")).collect()
+    by = {}
+    for r in made:
+        at, p = expected_p(r["value"])
+        assert r["encoding"] == at and r["size"] == int(math.log2(len(r["value"].rstrip("="))))
+        assert r["p"] == pytest.approx(p, abs=1e-3), r["value"]
+        if r["k"] < len(values):
+            by.setdefault(at, []).append(r["p"])
+        elif r["value"] != "AbC+/-_" * 9:
+            assert r["p"] < 0.01, r["value"]
+    for at, ps in by.items():
+        if len(ps) >= 200:
+            for q in (0.1, 0.25, 0.5, 0.75, 0.9):
+                assert abs(np.mean(np.array(ps) > q) - (1 - q)) < 0.08, (at, q)
+
+
+@pytest.mark.parametrize("length", [20, 24, 32, 64])
+def test_planted_random_strings_among_documents(spark, length):
+    """Recall in each encoding among real texts; letters alone are no keys where long words abound, so lower is left out."""
+    rng = random.Random(length)
+    source = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()
+    kinds = [e for e in secret_scan.ENCODINGS[1:] if e[0] != "lower"]
+    planted, rows = {}, []
+    for k, r in enumerate(source):
+        text = r["text"] or ""
+        if k < 40 * len(kinds):
+            name, _, natural, _ = kinds[k % len(kinds)]
+            key = "".join(rng.choice(sorted(set(natural))) for _ in range(length))
+            planted[r["doc_id"]] = name, len(text) + 1, length
+            text = f"{text} {key}"
+        rows.append((r["doc_id"], text, None))
+    made = {r["doc_id"]: r["spans"] for r in secret_scan.secrets(docs(spark, rows)).collect()}
+    found, other = Counter(), 0
+    for i, spans in made.items():
+        marks = [s.split(":") for s in spans.split(",") if s]
+        if i in planted:
+            name, start, n = planted[i]
+            found[name] += any(int(a) <= start and int(b) >= start + n for _, a, b in marks)
+        other += sum(kind == "random" and not (i in planted and int(a) == planted[i][1]) for kind, a, _ in marks)
+    total = Counter(x[0] for x in planted.values())
+    assert min(total.values()) >= 30
+    assert {n: round(found[n] / total[n], 2) for n in total if found[n] < 0.9 * total[n]} == {}
+    assert other <= secret_scan.FDR * (other + sum(found.values())), other
+
+
+def test_added_spans_and_cuts_equal_brute_force(spark):
+    rng = random.Random(29)
+    words = ["the", "quite", "internationalization", "responsibilities-of-the-house", "secret=hunter22hunter", "f" * 30, "4952935900253052", "0GWm" * 9]
+    rows = [(k, " ".join([*rng.sample(words, 5), *([random_strings(rng, 1)[rng.randrange(11)]] if k % 2 else [])]), None) for k in range(400)]
+    pattern = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
+    tests, counts = [], {}
+    for i, t, _ in rows:
+        for m in pattern.finditer(t):
+            at, p = expected_p(m[0])
+            stratum = at, int(math.log2(len(m[0].rstrip("="))))
+            counts.setdefault(stratum, [0] * secret_scan.BINS)[min(int(p * secret_scan.BINS), secret_scan.BINS - 1)] += 1
+            tests.append((i, m, stratum, p))
+    cut = secret_scan.cuts(counts)
+    base = {i: [(m.start(), m.end()) for name, pat, ok in PATTERNS for m in pat.finditer(t) if ok(m)] for i, t, _ in rows}
+    want = {(i, m.start(), m.end()) for i, m, s, p in tests if s in cut and p >= cut[s] and all(b <= m.start() or a >= m.end() for a, b in base[i])}
+    made = {(r["doc_id"], *map(int, s.split(":")[1:])) for r in secret_scan.secrets(docs(spark, rows)).collect() for s in r["spans"].split(",") if s.startswith("random")}
+    near = {(i, m.start(), m.end()) for i, m, s, p in tests if s in cut and abs(p - cut[s]) < 1e-3}  # the normal distribution function is an approximation
+    assert len(want) > 150 and (made ^ want) <= near
+
+
 def test_numbers_are_no_letters():
     assert langid.LETTERS.findall("½ ² Ⅻ ab½cd_e1é 一二 x") == ["ab", "cd", "e", "é", "一二", "x"]
 
