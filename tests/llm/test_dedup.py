@@ -248,26 +248,36 @@ def near_texts():
     return list(enumerate(rows))
 
 
-@pytest.mark.parametrize("least_crowd", [2, 16])
-def test_similar_texts_leave_one(spark, monkeypatch, least_crowd):
-    """Against all pairs by weighted five-word similarity of 0.8, with the way of crowds for most buckets or for large ones."""
-    monkeypatch.setattr(near_copies, "SMALL", least_crowd)
-    rows = near_texts()
-    words = {i: (t or "").lower().split() for i, t in rows}
+def least_of_similar(rows):
+    """The smallest id of each group of texts (by id) with a weighted five-word similarity of 0.8 or more, or the same words, by all pairs."""
+    words = {i: "".join(c.lower() if c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ" else c for c in t or "").translate(str.maketrans(SPACE, " " * len(SPACE))) for i, t in rows.items()}
+    words = {i: [w for w in t.split(" ") if w] for i, t in words.items()}
     bags = {i: Counter(tuple(w[k : k + 5]) for k in range(len(w) - 4)) for i, w in words.items()}
-    parent = {i: i for i in words}
+    size = {i: b.total() for i, b in bags.items()}
+    parent = {i: i for i in rows}
 
     def find(a):
         while parent[a] != a:
             a = parent[a]
         return a
 
-    beyond = 0
     for a in words:
-        for b in range(a):
-            both, every = (bags[a] & bags[b]).total(), (bags[a] | bags[b]).total()
-            if words[a] == words[b] or every and 5 * both >= 4 * every:
-                beyond += (expected_print(rows[a][1]) ^ expected_print(rows[b][1])).bit_count() > 2
-                parent[max(find(a), find(b))] = min(find(a), find(b))
-    assert beyond > 20
-    assert sorted(r["doc_id"] for r in near_copies.keep_one(docs(spark, rows)).collect()) == sorted({find(i) for i in words})
+        for b in words:
+            if b < a and (words[a] == words[b] or 5 * min(size[a], size[b]) >= 4 * max(size[a], size[b]) > 0):
+                both = (bags[a] & bags[b]).total()
+                if words[a] == words[b] or 5 * both >= 4 * (size[a] + size[b] - both):
+                    a_root, b_root = find(a), find(b)
+                    parent[max(a_root, b_root)] = min(a_root, b_root)
+    return sorted({find(i) for i in rows})
+
+
+@pytest.mark.parametrize(("least_crowd", "block"), [(2, 1024), (2, 8), (16, 1024)])
+def test_similar_texts_leave_one(spark, monkeypatch, least_crowd, block):
+    """Against all pairs by weighted five-word similarity of 0.8, with the way of crowds for most buckets or for large ones, and in many blocks."""
+    monkeypatch.setattr(near_copies, "SMALL", least_crowd)
+    monkeypatch.setattr(near_copies, "BLOCK", block)
+    rows = near_texts()
+    kept = least_of_similar(dict(rows))
+    beyond = [i for i in range(len(rows)) if i not in kept and all((expected_print(rows[i][1]) ^ expected_print(t)).bit_count() > 2 for j, t in rows if j != i)]
+    assert len(beyond) > 20  # similar texts that op1's fingerprints do not link
+    assert sorted(r["doc_id"] for r in near_copies.keep_one(docs(spark, rows)).collect()) == kept

@@ -524,14 +524,9 @@ def test_pipeline_equals_its_stages_by_hand(spark, small, library):
     low = lambda s: re.sub("[A-Z]", lambda m: m[0].lower(), s.strip(" \t\n\x0b\x0c\r"))
     count = Counter(k for t in rows.values() for k in {low(s) for s in t.split("\n")})
     rows = {i: "\n".join(s for s in t.split("\n") if not low(s) or count[low(s)] < 10) for i, t in rows.items()}
-    from test_dedup import expected_components, expected_print
-
-    prints = {i: expected_print(t) for i, t in rows.items()}
-    root = expected_components(prints.values())
-    keep = {}
-    for i in sorted(rows):
-        keep.setdefault(root[prints[i]], i)
-    rows = {i: rows[i] for i in keep.values()}
+    from test_dedup import least_of_similar
+
+    rows = {i: rows[i] for i in least_of_similar(rows)}
     leaked = {i for i, _ in best_windows(rows.items(), [(r["item_id"], r["text"]) for r in bench.collect()])}
     rows = {i: t for i, t in rows.items() if i not in leaked}
     made = {r["doc_id"]: r for r in corpus_pipeline.run(spark, small).collect()}
