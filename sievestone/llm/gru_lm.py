@@ -7,12 +7,15 @@ its class of CLASS_SIZE words; both start from the corpus counts, as biases. A g
 carries its state from window to window, so a document's probability is that of the whole text.
 
 Training reads every training document in full, by truncated backpropagation over windows of WINDOW
-tokens with the state carried on. Each partition trains on its own documents from the same start; the
-models are averaged by their tokens in a tree, whose last level has at most FAN_IN models.
+tokens with the state carried on, in ROUNDS rounds. In a round a part of the partitions trains, each on its own
+documents from the model of the round before; the models and the sums of squared gradients are averaged by
+their tokens in a tree, whose last level has at most FAN_IN models, and the step from round to round
+keeps some momentum. Small partitions are joined until each trainer has TRAINER_TOKENS, so that a model does not
+get worse by being trained in many places.
 
-Word counts grow with the corpus and stay distributed. Only the HOT most frequent words (a fixed number,
-of at most HOT_BYTES bytes each) go to the workers; what a document has of other words is counted, joined
-with the table by word and added.
+Word counts grow with the corpus and stay distributed. Only words at least as frequent as a count that at most HOT
+words reach (of at most HOT_BYTES bytes each) go to the workers; what a document has of other words is counted,
+joined with the table by word and added.
 
 Results for odd input: a null or empty text is the end alone; null ids belong to the training fold
 (crc32 of the empty string is 0); repeated rows count and score each; without training rows all
@@ -28,7 +31,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import common
@@ -41,9 +44,8 @@ CLASSES, CLASS_SIZE = 32, 64
 WORDS = CLASSES * CLASS_SIZE
 HIDDEN, WINDOW, LANES = 8, 32, 512
 RATE, CLIP, SEED = 0.05, 1.0, 42
-#: Bound of the logits of a softmax.
-LOGIT = 30.0
 FAN_IN = 32
+ROUNDS, MOMENTUM, TRAINER_TOKENS = 4, 0.5, 2_000_000
 #: Padded tokens of documents that run side by side.
 CELLS = 1_000_000
 COUNTED_AT_ONCE = 500_000
@@ -79,22 +81,43 @@ def by_class(words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return of, order, np.searchsorted(of.take(order), np.arange(CLASSES + 2))
 
 
-def exponentials(z: np.ndarray) -> np.ndarray:
-    """In place, of z cut to +-LOGIT, which takes the place of a shift by the row's maximum; gives the row sums. A product with ones is faster than a sum over short rows."""
-    np.clip(z, -LOGIT, LOGIT, out=z)
-    np.exp(z, out=z)
-    return z @ np.ones(z.shape[1], z.dtype)
-
+def exponentials(states: np.ndarray, weights: np.ndarray, biases: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """exp of the logits of each state, divided by a number of its own, and the row sums.
 
-def log_softmax_at(z: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """For each row the logarithm of the softmax at one column; z is lost."""
-    sums = exponentials(z)
-    return np.log(z[np.arange(len(z)), at] / sums)
+    States are between -1 and 1, so no logit exceeds its bias plus the absolute weights; shifted by the largest
+    such bound nothing overflows, at no cost for each row. Rows that this leaves too small are shifted by
+    their own maximum instead.
+    """
+    z = states @ weights
+    z += biases - (biases + np.abs(weights).sum(0)).max()
+    np.exp(z, out=z)
+    sums = z @ np.ones(z.shape[1], z.dtype)  # faster than a sum over short rows
+    low = np.flatnonzero(~(sums > 1e-30))
+    if len(low):
+        again = states.take(low, axis=0) @ weights + biases
+        again = np.exp(again - again.max(1, keepdims=True))
+        z[low], sums[low] = again, again.sum(1)
+    return z, sums
+
+
+def log_softmax_at(states: np.ndarray, weights: np.ndarray, biases: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """For each state the logarithm of the softmax at one column."""
+    z, sums = exponentials(states, weights, biases)
+    one = z[np.arange(len(z)), at] / sums
+    if one.min() >= 1e-30:
+        return np.log(one)
+    out = np.log(np.maximum(one, 1e-30))
+    low = np.flatnonzero(one < 1e-30)
+    if len(low):
+        again = (states.take(low, axis=0) @ weights + biases).astype(np.float64)
+        top = again.max(1)
+        out[low] = again[np.arange(len(low)), at[low]] - top - np.log(np.exp(again - top[:, None]).sum(1))
+    return out
 
 
-def softmax_rows(z: np.ndarray) -> np.ndarray:
-    """In place."""
-    z /= exponentials(z)[:, None]
+def softmax_rows(states: np.ndarray, weights: np.ndarray, biases: np.ndarray) -> np.ndarray:
+    z, sums = exponentials(states, weights, biases)
+    z /= sums[:, None]
     return z
 
 
@@ -158,16 +181,16 @@ class Gru:
     def log_probs(self, states: np.ndarray, words: np.ndarray) -> np.ndarray:
         """Natural log-probability of each word after a state; of the tail class for a tail word."""
         of, order, ends = by_class(words)
-        out = log_softmax_at(states @ self.wc + self.bc, of)
+        out = log_softmax_at(states, self.wc, self.bc, of)
         for c in range(1, CLASSES + 1):
             who = order[ends[c] : ends[c + 1]]
             if len(who):
-                out[who] += log_softmax_at(states.take(who, axis=0) @ self.ww[c - 1] + self.bw[c - 1], words.take(who) % CLASS_SIZE)
+                out[who] += log_softmax_at(states.take(who, axis=0), self.ww[c - 1], self.bw[c - 1], words.take(who) % CLASS_SIZE)
         return out
 
     def output_gradient(self, states: np.ndarray, words: np.ndarray, grads: dict[str, np.ndarray]) -> np.ndarray:
         """Of the loss by the states; adds to the gradients of the output."""
-        p = softmax_rows(states @ self.wc + self.bc)
+        p = softmax_rows(states, self.wc, self.bc)
         of, order, ends = by_class(words)
         p[np.arange(len(of)), of] -= 1
         grads["wc"] += states.T @ p
@@ -177,7 +200,7 @@ class Gru:
             who = order[ends[c] : ends[c + 1]]
             if len(who):
                 own = states.take(who, axis=0)
-                z = softmax_rows(own @ self.ww[c - 1] + self.bw[c - 1])
+                z = softmax_rows(own, self.ww[c - 1], self.bw[c - 1])
                 z[np.arange(len(who)), words.take(who) % CLASS_SIZE] -= 1
                 grads["ww"][c - 1] += own.T @ z
                 grads["bw"][c - 1] += z.sum(0)
@@ -220,9 +243,14 @@ def document_scores(model: Gru, ids: list[np.ndarray], lanes: int = 2 * LANES) -
 class Trainer:
     """Truncated backpropagation with adaptive gradients."""
 
-    def __init__(self, model: Gru) -> None:
+    def __init__(self, model: Gru, squares: bytes | None = None) -> None:
         self.model, self.seen = model, 0
-        self.squares = {n: np.full_like(getattr(model, n), 1e-3) for n in NAMES}
+        sums = Gru.from_blob(squares) if squares else None
+        self.squares = {n: getattr(sums, n) if sums else np.full_like(getattr(model, n), 1e-3) for n in NAMES}
+
+    def blob(self) -> bytes:
+        """The parameters, and the sums of squared gradients in the same order."""
+        return self.model.blob() + np.concatenate([self.squares[n].ravel() for n in NAMES]).astype(np.float32).tobytes()
 
     def learn(self, ids: list[np.ndarray]) -> None:
         for _, at, running in lanes_of(ids, LANES):
@@ -308,10 +336,23 @@ class Lexicon:
         self.tail_total, self.tail_distinct = self.total - head, self.distinct - seen
 
 
+def count_bin(n: Column) -> Column:
+    """Counts below 1,024 by themselves, larger ones by eighths of an octave."""
+    return F.when(n < 1024, n).otherwise(1024 + F.floor(F.log2(n) * 8)).cast("int")
+
+
 def lexicon(table: DataFrame) -> Lexicon:
     """table: word, n."""
     total, distinct = table.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    hot = table.where((F.octet_length("word") <= HOT_BYTES) & (F.octet_length("word") > 0)).orderBy(F.col("n").desc(), "word").limit(HOT).toArrow()
+    short = table.where((F.octet_length("word") <= HOT_BYTES) & (F.octet_length("word") > 0))
+    bins = short.groupBy(count_bin(F.col("n")).alias("bin")).agg(F.count("*").alias("words")).collect()  # some 1,500 rows at most
+    least, seen = 0, 0
+    for r in sorted(bins, key=lambda r: -r["bin"]):
+        seen += r["words"]
+        if seen > HOT:
+            least = r["bin"] + 1
+            break
+    hot = short.where(count_bin(F.col("n")) >= least).toArrow().sort_by([("n", "descending"), ("word", "ascending")])  # HOT rows at most
     end = table.where(F.octet_length("word") == 0).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     words = [END, *hot.column("word").to_pylist()]
     counts = np.concatenate([[end], hot.column("n").to_numpy()]).astype(np.int64)
@@ -319,19 +360,13 @@ def lexicon(table: DataFrame) -> Lexicon:
 
 
 def train(texts: DataFrame, lex: Lexicon) -> Gru:
-    """texts: text, of the training documents."""
-    spark = texts.sparkSession
-    start = Gru.start(lex.counts[:WORDS], lex.tail_total)
-    shared = spark.sparkContext.broadcast((lex.words[:WORDS], start.blob()))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, blob = shared.value
-        get = numbered(words, WORDS).__getitem__
-        trainer = Trainer(Gru.from_blob(blob))
-        for b in batches:
-            trainer.learn([np.fromiter(map(get, tokens(t)), np.int32) for t in b.column("text").cast(pa.binary()).to_pylist()])
-        if trainer.seen:
-            yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([trainer.seen], pa.int64()), pa.array([trainer.model.blob()], pa.binary())], names=["part", "seen", "model"])
+    """texts: text, of the training documents. Which partition a document is in must not change from job to job."""
+    spark, kind = texts.sparkSession, "part long, seen long, model binary"
+    now = np.frombuffer(Gru.start(lex.counts[:WORDS], lex.tail_total).blob(), np.float32)
+    squares, step = np.full(len(now), 1e-3, np.float32), np.zeros(len(now), np.float32)
+    trainers = max(1, lex.total // TRAINER_TOKENS)
+    rounds = min(ROUNDS, trainers)
+    placed = texts.coalesce(trainers).withColumn("part", F.spark_partition_id())
 
     def average(table: pa.Table) -> pa.Table:
         parts = sorted(zip(table.column("part").to_pylist(), table.column("seen").to_pylist(), table.column("model").to_pylist()))
@@ -339,14 +374,30 @@ def train(texts: DataFrame, lex: Lexicon) -> Gru:
         mean = sum(np.frombuffer(m, np.float32) * np.float32(s / seen) for _, s, m in parts)
         return pa.table({"part": pa.array([parts[0][0]], pa.int64()), "seen": pa.array([seen], pa.int64()), "model": pa.array([mean.astype(np.float32).tobytes()], pa.binary())})
 
-    kind = "part long, seen long, model binary"
-    models = common.save(texts.mapInArrow(run, kind), "lm-models")
-    left = models.count()
-    while left > FAN_IN:
-        left = -(-left // FAN_IN)
-        models = common.save(models.groupBy(F.pmod("part", F.lit(left)).alias("group")).applyInArrow(average, kind), "lm-models")
-    got = models.toArrow()
-    return Gru.from_blob(average(got).column("model")[0].as_py()) if got.num_rows else start
+    for k in range(rounds):
+        shared = spark.sparkContext.broadcast((lex.words[:WORDS], now.tobytes(), squares.tobytes()))
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            words, blob, sums = shared.value
+            get = numbered(words, WORDS).__getitem__
+            trainer = Trainer(Gru.from_blob(blob), sums)
+            for b in batches:
+                trainer.learn([np.fromiter(map(get, tokens(t)), np.int32) for t in b.column("text").cast(pa.binary()).to_pylist()])
+            if trainer.seen:
+                yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([trainer.seen], pa.int64()), pa.array([trainer.blob()], pa.binary())], names=["part", "seen", "model"])
+
+        models = common.save(placed.where(F.pmod("part", F.lit(rounds)) == k).select("text").mapInArrow(run, kind), "lm-models")
+        left = models.count()
+        while left > FAN_IN:
+            left = -(-left // FAN_IN)
+            models = common.save(models.groupBy(F.pmod("part", F.lit(left)).alias("group")).applyInArrow(average, kind), "lm-models")
+        got = models.toArrow()
+        if got.num_rows:
+            both = np.frombuffer(average(got).column("model")[0].as_py(), np.float32)
+            made, squares = both[: len(now)], both[len(now) :]
+            step = MOMENTUM * step + (made - now)
+            now = made + MOMENTUM * step if rounds > 1 else made
+    return Gru.from_blob(now.tobytes())
 
 
 def document_log_probs(docs: DataFrame) -> DataFrame:
