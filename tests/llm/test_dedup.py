@@ -9,16 +9,18 @@ import numpy as np
 import pytest
 import xxhash
 from compare import assert_same, connect
-from sievestone.llm import content_sort, line_runs, near_copies, simhash
+from sievestone.llm import content_sort, digest_filter, line_runs, near_copies, simhash
 from sievestone.llm.queries import ORACLES, QUERIES
 
-DOCS = "doc_id long, text string, lang string, source string, n_chars long, score double, row long, fp long, run long"
+#: Columns of documents, and of other names that the operators use inside.
+CLASHING = ["score", "row", "fp", "run", "_kept", "_lines", "_t1", "_t2", "_gone", "_simhash_row", "_digest", "_held", "_row", "_text", "_score", "doc", "kept", "lines", "gone", "t1", "h1", "key", "node", "label", "n", "text_sha256", "_page", "_bit", "_bits", "_maybe", "item", "item_id", "at", "toxic"]
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} long" for c in CLASHING)
 SPACE = " \t\n\x0b\x0c\r"
 
 
 def docs(spark, rows):
     """Documents with columns whose names the operators use inside."""
-    return spark.createDataFrame([(i, t, None, "s", None if t is None else len(t), 0.0, 1, 2, 3) for i, t in rows], DOCS)
+    return spark.createDataFrame([(i, t, None, "s", None if t is None else len(t), *(7 * k + len(t or "") for k in range(len(CLASHING)))) for i, t in rows], DOCS)
 
 
 def odd_rows():
@@ -218,7 +220,7 @@ def test_lines_that_stay(spark):
 
 
 def test_runs_by_level(spark):
-    runs = line_runs.LineRuns(min_docs=3, fanout=2)
+    runs = line_runs.LineRuns(spark, min_docs=3, fanout=2)
     for _ in range(5):
         runs.add(spark.createDataFrame([(1, 1, 1), (2, 2, 3)], "h1 long, h2 long, docs long"))
     assert [len(level) for level in runs.levels] == [1, 0, 1]
@@ -226,6 +228,54 @@ def test_runs_by_level(spark):
     assert runs.frequent().count() == 2
 
 
+def test_runs_merge_without_shuffle_or_sort(spark, monkeypatch):
+    runs, plans = line_runs.LineRuns(spark, min_docs=3, fanout=2), []
+    write = runs.write
+    monkeypatch.setattr(runs, "write", lambda rows: (plans.append(rows._jdf.queryExecution().executedPlan().toString()), write(rows))[1])
+    dealt = write(spark.range(1000).selectExpr("id AS h1", "id AS h2", "id AS first").repartition(runs.buckets, "h1", "h2"))
+    for k in range(5):
+        runs.add(dealt.where(f"first >= {100 * k}").selectExpr("h1", "h2", "1L AS docs"), dealt=True)
+    total = runs.total()
+    assert len(plans) == 5 + 3 + 1  # runs, compactions, and the last merge
+    assert [p for p in plans if "Exchange" in p or "Sort " in p or "Bucketed: true" not in p] == []
+    assert {(r["docs"], r["count"]) for r in total.groupBy("docs").count().collect()} == {(1, 100), (2, 100), (3, 800)}
+
+
+def clashing_rows():
+    return [*line_rows(), *((300 + k, t) for k, t in near_texts()), (900, "w " * 6), (901, None), (None, "null id")]
+
+
+@pytest.mark.parametrize("stage", range(4))
+def test_stages_leave_columns_of_any_name_alone(spark, stage):
+    import os
+
+    import corpus_pipeline
+
+    assert os.path.exists(corpus_pipeline.__file__)
+    name, run = corpus_pipeline.STAGES[stage]
+    source = docs(spark, clashing_rows())
+    kept = run(spark, source, "/root/testdata/sf0.001")
+    assert kept.columns == source.columns and kept.dtypes == source.dtypes
+    of = lambda df: Counter((r["doc_id"], *(r[c] for c in CLASHING)) for r in df.collect())
+    made, all_rows = of(kept), of(source)
+    assert made and not made - all_rows, name
+    assert name == "simhash_dedup" or made == all_rows
+
+
+@pytest.mark.parametrize("pages", [1, 8])
+def test_digest_filter_is_exact(spark, pages):
+    rows = spark.createDataFrame([(str(k % 5000) if k % 97 else None, k) for k in range(20_000)], "d string, k int")
+    listed = spark.createDataFrame([(str(k),) for k in range(0, 9000, 3)], "d string")
+    names = {str(k) for k in range(0, 9000, 3)}
+    inside = sorted(r["k"] for r in digest_filter.among(rows, listed, ["d"], pages).collect())
+    assert inside == sorted(k for k in range(20_000) if k % 97 and str(k % 5000) in names)
+    outside = sorted(r["k"] for r in digest_filter.without(rows, listed, ["d"], pages).collect())
+    assert outside == sorted(set(range(20_000)) - set(inside))
+    maybe, _ = digest_filter.split(rows, listed, ["d"], 8)
+    assert maybe.count() < 1.2 * len(inside)
+    assert digest_filter.without(rows, listed.where("false"), ["d"]).count() == 20_000
+
+
 def near_texts():
     """Texts with edits on both sides of similarity 0.8, a crowd around one text, and texts with repeats."""
     rng = random.Random(21)

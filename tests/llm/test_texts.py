@@ -165,11 +165,44 @@ def test_model_beats_word_frequencies_on_held_out_text(spark):
 
 def test_models_are_averaged_in_a_tree(spark, monkeypatch):
     monkeypatch.setattr(gru_lm, "FAN_IN", 2)
+    monkeypatch.setattr(gru_lm, "TRAINER_TOKENS", 10)
     rows = docs(spark, [(k, f"a b c d{k}", None) for k in range(40)]).repartition(9)
     made = gru_lm.document_log_probs(rows)
     assert made.count() == 40
 
 
+def test_every_document_trains_once_and_partitions_do_not_matter(spark, monkeypatch):
+    seen = []
+    average = gru_lm.Gru.from_blob
+    rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    count = lambda df: seen.append({(r["part"], r["seen"]) for r in df.collect()}) or df
+    save = gru_lm.common.save
+    monkeypatch.setattr(gru_lm.common, "save", lambda df, name: count(save(df, name)) if name == "lm-models" else save(df, name))
+    digits = []
+    for parts, least in ((1, 10**9), (40, 10**9), (40, 20_000)):
+        monkeypatch.setattr(gru_lm, "TRAINER_TOKENS", least)
+        seen.clear()
+        made = gru_lm.document_log_probs(rows.repartition(parts))
+        r = made.where("held_out").selectExpr("-sum(score) / sum(n_tokens) AS digits").first()
+        train_tokens = made.first()["train_tokens"]
+        assert sum(n for s in seen[: gru_lm.ROUNDS] for _, n in s) == train_tokens
+        assert len(seen) == (1 if least > 10**6 else gru_lm.ROUNDS)
+        digits.append(r["digits"])
+    assert abs(digits[0] - digits[1]) < 0.01
+    assert average(gru_lm.Gru.start(np.ones(5), 1.0).blob()).blob() == gru_lm.Gru.start(np.ones(5), 1.0).blob()
+
+
+def test_the_softmax_of_large_logits():
+    states = np.array([[1, -1, 0.5], [0.9, 1, -1]], np.float32)
+    weights = np.array([[90, -300, 5, 0], [200, 80, 0, 0], [-9, 7, 0, 300]], np.float32)
+    biases = np.array([0, -5, 3, 400], np.float32)
+    z = (states @ weights + biases).astype(np.float64)
+    for at in range(4):
+        expected = z[:, at] - z.max(1) - np.log(np.exp(z - z.max(1, keepdims=True)).sum(1))
+        assert np.allclose(gru_lm.log_softmax_at(states, weights, biases, np.full(2, at)), expected, rtol=1e-4, atol=1e-4)
+    assert np.allclose(gru_lm.softmax_rows(states, weights, biases).sum(1), 1)
+
+
 def test_no_documents(spark):
     none = docs(spark, [])
     assert gru_lm.document_log_probs(none).count() == 0
@@ -207,6 +240,43 @@ def test_pairs_decide_what_single_terms_do_not():
     assert model.score([1, 2]) > 0.7 > max(model.score([1]), model.score([2]), model.score([]))
 
 
+def test_scores_equal_all_pairs(spark):
+    """The logistic of bias, weights and every pair of vectors, over terms worked out by hand."""
+    import xxhash
+
+    rng = np.random.default_rng(2)
+    texts = ["Fools and their groups", "the group of fools, fools!", "x", "", None, "fool's-errand 12 ÄRGER ärgerlich", "group"]
+    bucket = lambda t: xxhash.xxh32_intdigest(t.encode(), fm_toxicity.SEED) % fm_toxicity.BUCKETS
+    sets = []
+    for t in texts:
+        runs = re.findall(r"[^\W\d_]+", (t or "").lower())
+        sets.append({bucket(x) for w in runs for x in [w, *(w[:k] + "-" for k in (3, 4, 5, 6) if k < len(w))]})
+    known = sorted(set().union(*sets))[::2]
+    model = fm_toxicity.FactorizationMachine(0.3, {b: float(rng.normal()) for b in known}, {b: rng.normal(size=4).astype(np.float32) for b in known})
+    made = {r["doc_id"]: r["_score"] for r in fm_toxicity.scores(docs(spark, [(k, t, None) for k, t in enumerate(texts)]), model, "doc_id").collect()}
+    for k, s in enumerate(sets):
+        own = sorted(s & set(known))
+        raw = model.bias + sum(model.weights[b] for b in own) + sum(float(model.vectors[a] @ model.vectors[b]) for n, a in enumerate(own) for b in own[:n])
+        assert made[k] == pytest.approx(1 / (1 + math.exp(-raw)), abs=1e-6)
+
+
+def test_the_training_sample(spark, monkeypatch):
+    rows = docs(spark, [(k, f"text {k}", None) for k in range(300)])
+    labels = spark.createDataFrame([(k, k % 2 if k % 5 else None) for k in range(280)] + [(4, 1)], "doc_id long, toxic int")
+    order = [r["k"] for r in spark.range(300).selectExpr("id AS k", "xxhash64(id) AS h").orderBy("h", "k").collect()]
+    fold = [k for k in order if k < 280 and zlib.crc32(str(k).encode()) % 3 != 1 and (k % 5 or k == 4)]
+    for bound in (50, 1000):
+        made = fm_toxicity.training_sample(rows, labels, bound).collect()
+        assert {(r["doc_id"], r["text"], r["toxic"]) for r in made} == {(k, f"text {k}", 1 if k == 4 else k % 2) for k in fold[:bound]}
+    seen = []
+    monkeypatch.setattr(fm_toxicity, "fit", lambda examples, labels: seen.append((len(examples), sum(map(len, examples)))) or fm_toxicity.FactorizationMachine(0.0, {}, {}))
+    fm_toxicity.train(rows, labels)
+    monkeypatch.setattr(fm_toxicity, "MAX_TERMS", 50)
+    fm_toxicity.train(rows, labels)
+    (every, _), (some, terms) = seen
+    assert every == len(fold) and 0 < some < every and terms <= 50
+
+
 def test_toxicity_of_odd_rows(spark):
     labels = spark.createDataFrame([(k, 1, k % 2) for k in range(12)] + [(0, 1, None), (None, 1, 1), (1, 1, 0)], "doc_id long, quality int, toxic int")
     made = fm_toxicity.toxicity(odd_docs(spark), labels).collect()
@@ -447,6 +517,14 @@ def test_cuts_hold_the_false_share():
 # Decontamination
 
 
+def test_window_fingerprints(spark):
+    rng = random.Random(5)
+    rows = [(k, [rng.getrandbits(64) - (1 << 63) for _ in range(n)]) for k, n in enumerate([1, 2, 3, 30, 31, 400])] + [(6, [-1] * 20_000)]
+    made = decontaminate.simhash(spark.createDataFrame(rows, "k int, w array<long>"), "w", "fp").collect()
+    for r, (_, w) in zip(sorted(made, key=lambda r: r["k"]), rows):
+        assert r["fp"] & (1 << 64) - 1 == sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in w) > len(w))
+
+
 def shingles(text):
     words = re.findall("[^\x20\x09-\x0d]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     return [" ".join(words[k : k + 5]) for k in range(len(words) - 4)]
@@ -461,8 +539,8 @@ def best_windows(rows, items, least=0.8):
             if not b:
                 continue
             cb, best = Counter(b), 0
-            for k in range(len(s)):
-                a = Counter(s[k : k + len(b)])
+            for k in range(-len(b), len(s)):  # fewer shingles at both ends
+                a = Counter(s[max(0, k) : max(0, k + len(b))])
                 both = sum((a & cb).values())
                 best = max(best, both / (sum(a.values()) + len(b) - both))
             if best >= least:
@@ -482,21 +560,26 @@ def test_decontamination_equals_all_windows(spark):
             item[rng.randrange(len(item))] = "changed"
         if rng.random() < 0.3:
             item.insert(len(item) // 2, "put in")
-        if rng.random() < 0.2:
+        cut = rng.random()
+        before, after = text(rng.randint(0, 30)), text(rng.randint(0, 30))
+        if cut < 0.2:
             item = item[len(item) // 8 :]
-        rows.append((k, "  ".join(text(rng.randint(0, 30)) + item + text(rng.randint(0, 30))).upper()))
+        elif cut < 0.4:  # a document that begins inside an item
+            item, before = item[len(item) // 8 :], []
+        elif cut < 0.6:
+            item, after = item[: len(item) - len(item) // 8], []
+        rows.append((k, "  ".join(before + item + after).upper()))
+    items += [(70, items[3][1].upper()), (71, items[3][1])]  # equal items
     expected = best_windows(rows, items)
     assert len(expected) > 12
     bench = spark.createDataFrame(items, "item_id long, text string")
     source = docs(spark, [(i, t, None) for i, t in rows])
     made = decontaminate.matches(source, bench).collect()
     assert {(r["doc_id"], r["item_id"]): pytest.approx(r["similarity"]) for r in made} == expected
-    before = decontaminate.BLOCK_ANCHORS
-    decontaminate.BLOCK_ANCHORS = 20  # many passes
-    try:
-        assert {(r["doc_id"], r["item_id"]) for r in decontaminate.matches(source, bench).collect()} == set(expected)
-    finally:
-        decontaminate.BLOCK_ANCHORS = before
+    for name, value in (("BLOCK_ANCHORS", 20), ("BROADCAST_INDEX", 0), ("LANE_ROOM", 0)):  # many passes, an index that is not broadcast, counts of bits apart
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(decontaminate, name, value)
+            assert {(r["doc_id"], r["item_id"]) for r in decontaminate.matches(source, bench).collect()} == set(expected)
     kept = decontaminate.without_benchmark(source, bench)
     assert kept.columns == source.columns
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(i for i, _ in rows if i not in {d for d, _ in expected})
