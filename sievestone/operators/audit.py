@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars
+from .hamming import distance_histogram, first_pairs
+from .ranking import cumulative
 
 
 def pair_up(images: DataFrame, labels: DataFrame, keys: list[str]) -> DataFrame:
@@ -37,6 +39,22 @@ def split_summary(files: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+def qa_report(files: DataFrame, boxes: DataFrame, rows: DataFrame, threshold: int, examples: int = 10) -> DataFrame:
+    """By split: images, unreadable, without_label, label_errors (files), errors_total of the three, boxes, class_counts (map), duplicate_pairs and the first examples (array of a, b, d).
+
+    files (split, readable, has_label, n_errors), valid boxes (split, cls), rows (id, h, split) of the readable images.
+    """
+    per = files.groupBy("split").agg(
+        F.count("*").alias("images"), F.count_if(~F.col("readable")).alias("unreadable"), F.count_if(~F.col("has_label")).alias("without_label"),
+        F.count_if(F.col("has_label") & (F.col("n_errors") > 0)).alias("label_errors"),
+    ).withColumn("errors_total", F.col("unreadable") + F.col("without_label") + F.col("label_errors"))
+    classes = boxes.groupBy("split", "cls").agg(F.count("*").alias("n")).groupBy("split").agg(F.sum("n").alias("boxes"), F.map_from_entries(F.array_sort(F.collect_list(F.struct("cls", "n")))).alias("class_counts"))
+    pairs = distance_histogram(rows, threshold, "split").groupBy("split").agg(F.sum("pairs").alias("duplicate_pairs"))
+    shown = first_pairs(rows, threshold, examples, "split").groupBy("split").agg(F.array_sort(F.collect_list(F.struct("a", "b", "d"))).alias("examples"))
+    made = per.join(classes, "split", "left").join(pairs, "split", "left").join(shown, "split", "left")
+    return made.withColumns({c: F.coalesce(c, F.lit(0)) for c in ("boxes", "duplicate_pairs")})
+
+
 def composition(boxes: DataFrame, first: int, second: int, *keys: str) -> DataFrame:
     """Images by the classes they hold: only_first, only_second, both, neither, and the boxes of each. Rows without a class stand for images without boxes."""
     has = boxes.groupBy(*keys).agg(F.count_if(F.col("cls") == first).alias("a"), F.count_if(F.col("cls") == second).alias("b"))
@@ -53,21 +71,27 @@ def box_histogram(images: DataFrame, boxes: DataFrame, key: str) -> DataFrame:
     return images.select(key).join(per, key, "left").groupBy(F.coalesce("n_boxes", F.lit(0)).alias("n_boxes")).agg(F.count("*").alias("images"))
 
 
-def upper_median(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """The element at n div 2 of the sorted values of each key, 0.0 where all are null. Values are counted first, ranks come from running sums over distinct values."""
-    from pyspark.sql import Window as W
+def sorted_elements(rows: DataFrame, keys: list[str], value: str, places: dict[str, Column]) -> DataFrame:
+    """By keys: the element of the sorted values at each place (from 0, of n); null where all values are. Distinct values are counted, and ranks are running sums over them."""
+    counts = rows.groupBy(*keys, value).agg(F.count(value).alias("_n"))
+    placed = cumulative(counts, keys, [F.col(value)], F.col("_n"), "_upto", "n")
+    at = {name: F.min(F.when((F.col("_n") > 0) & (F.col("_upto") > place), F.col(value))).alias(name) for name, place in places.items()}
+    return placed.groupBy(*keys).agg(*at.values())
+
 
-    counts = rows.groupBy(*keys, value).agg(F.count(value).alias("n"))
-    order = W.partitionBy(*keys).orderBy(value)
-    placed = counts.withColumn("upto", F.sum("n").over(order.rowsBetween(W.unboundedPreceding, 0))).withColumn("all", F.sum("n").over(W.partitionBy(*keys)))
-    hit = F.when((F.col("n") > 0) & (F.col("upto") > F.floor(F.col("all") / 2)), F.col(value))
-    return placed.groupBy(*keys).agg(F.coalesce(F.min(hit), F.lit(0.0)).alias("upper_median"))
+def upper_median(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """The element at n div 2 of the sorted values of each key, 0.0 where all are null."""
+    return sorted_elements(rows, keys, value, {"upper_median": F.floor(F.col("n") / 2)}).select(*keys, F.coalesce("upper_median", F.lit(0.0)).alias("upper_median"))
 
 
 def statistics(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
     """mean, median, sample deviation, min and max."""
     c = F.col(value)
-    return rows.groupBy(*keys).agg(F.avg(c).alias("mean"), F.median(c).alias("median"), F.stddev_samp(c).alias("stdev"), F.min(c).alias("min"), F.max(c).alias("max"))
+    middle = sorted_elements(rows, keys, value, {"_low": F.floor((F.col("n") - 1) / 2), "_high": F.floor(F.col("n") / 2)})
+    plain = rows.groupBy(*keys).agg(F.avg(c).alias("mean"), F.stddev_samp(c).alias("stdev"), F.min(c).alias("min"), F.max(c).alias("max"))
+    same = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]
+    both = plain.alias("a").join(middle.alias("b"), same)
+    return both.select(*(f"a.{k}" for k in keys), "mean", ((F.col("_low") + F.col("_high")) / 2).alias("median"), "stdev", "min", "max")
 
 
 def rates(rows: DataFrame, keys: list[str], seconds: str) -> DataFrame:

@@ -68,15 +68,42 @@ def worst_images(found: DataFrame, n: int = 50) -> DataFrame:
     return per.where("fn + fp > 0").orderBy(F.desc(F.col("fn") + F.col("fp")), "image").limit(n)
 
 
-def average_precision(scored: DataFrame, truth: DataFrame) -> DataFrame:
-    """cls, ap: area under the precision-recall steps of scored predictions (cls, conf, hit), with precision made non-rising.
+def curve(scored: DataFrame, truth: DataFrame, *keys: str) -> DataFrame:
+    """keys, cls, n (truths), conf, hits, tp, seen: running counts of scored predictions (keys, cls, conf, hit) by falling confidence.
 
     Predictions of equal confidence count as one step, so the windows run over distinct confidences.
     """
     n = truth.groupBy("cls").agg(F.count("*").alias("n"))
-    steps = scored.groupBy("cls", "conf").agg(F.count_if("hit").alias("hits"), F.count("*").alias("all"))
-    down = W.partitionBy("cls").orderBy(F.desc("conf")).rowsBetween(W.unboundedPreceding, 0)
-    steps = steps.withColumns({"tp": F.sum("hits").over(down), "seen": F.sum("all").over(down)}).withColumn("precision", F.col("tp") / F.col("seen"))
-    rest = W.partitionBy("cls").orderBy(F.desc("conf")).rowsBetween(0, W.unboundedFollowing)
+    steps = scored.groupBy(*keys, "cls", "conf").agg(F.count_if("hit").alias("hits"), F.count("*").alias("all"))
+    down = W.partitionBy(*keys, "cls").orderBy(F.desc("conf")).rowsBetween(W.unboundedPreceding, 0)
+    return n.join(steps.withColumns({"tp": F.sum("hits").over(down), "seen": F.sum("all").over(down)}), "cls")
+
+
+def average_precision(scored: DataFrame, truth: DataFrame, *keys: str) -> DataFrame:
+    """keys, cls, ap: area under the precision-recall steps of scored predictions (keys, cls, conf, hit), with precision made non-rising; without keys, classes without predictions have 0."""
+    steps = curve(scored, truth, *keys).withColumn("precision", F.col("tp") / F.col("seen"))
+    rest = W.partitionBy(*keys, "cls").orderBy(F.desc("conf")).rowsBetween(0, W.unboundedFollowing)
     steps = steps.withColumn("best", F.max("precision").over(rest))
-    return n.join(steps, "cls", "left").groupBy("cls").agg(F.coalesce(F.sum(F.col("best") * F.col("hits") / F.col("n")), F.lit(0.0)).alias("ap"))
+    made = steps.groupBy(*keys, "cls").agg(F.sum(F.col("best") * F.col("hits") / F.col("n")).alias("ap"))
+    return made if keys else truth.select("cls").distinct().join(made, "cls", "left").select("cls", F.coalesce("ap", F.lit(0.0)).alias("ap"))
+
+
+#: Overlaps at which a detection counts.
+OVERLAPS = tuple(k / 100 for k in range(50, 100, 5))
+
+
+def detection_report(scored: DataFrame, truth: DataFrame) -> DataFrame:
+    """cls (null: mean over classes), precision, recall, ap50, ap50_95 of predictions (cls, conf, iou: of the match, null for none) against truth (cls).
+
+    As matches are taken by falling overlap, those of a stricter limit are the matches with that overlap.
+    Precision and recall are those at the confidence of a class's best F1 at 0.5, the highest of equals.
+    """
+    limits = F.explode(F.array(*map(F.lit, OVERLAPS))).alias("least")
+    at = scored.select("cls", "conf", "iou", limits).select("least", "cls", "conf", F.coalesce(F.col("iou") >= F.col("least"), F.lit(False)).alias("hit"))
+    ap = average_precision(at, truth, "least").groupBy("cls").agg(F.max(F.when(F.col("least") == OVERLAPS[0], F.col("ap"))).alias("ap50"), (F.sum("ap") / len(OVERLAPS)).alias("ap50_95"))
+    steps = curve(at.where(F.col("least") == OVERLAPS[0]), truth)
+    f1 = 2 * F.col("tp") / (F.col("n") + F.col("seen"))
+    best = steps.groupBy("cls").agg(F.max_by(F.struct((F.col("tp") / F.col("seen")).alias("precision"), (F.col("tp") / F.col("n")).alias("recall")), F.struct(f1, "conf")).alias("b"))
+    names = ("precision", "recall", "ap50", "ap50_95")
+    per = truth.select("cls").distinct().join(best.select("cls", "b.*"), "cls", "left").join(ap, "cls", "left").select("cls", *(F.coalesce(c, F.lit(0.0)).alias(c) for c in names))
+    return per.unionByName(per.agg(F.lit(None).cast(dict(per.dtypes)["cls"]).alias("cls"), *(F.avg(c).alias(c) for c in names)))

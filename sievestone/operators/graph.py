@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.scratch import save
+from ..sources.scratch import drop, save
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -20,26 +20,31 @@ def connected_components(edges: DataFrame) -> DataFrame:
     pairs = save(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct(), "cc-edges")
     labels = None
     while True:
-        up = save(pairs.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("label")), "cc-pointers")
-        while True:
+        up = save(pairs.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("label"), F.lit(True).alias("moved")), "cc-pointers")
+        while up.where("moved").limit(1).count():
             over = up.select(F.col("node").alias("_over"), F.col("label").alias("_label"))
-            made = save(up.join(over, F.col("label") == F.col("_over"), "left").select("node", F.coalesce("_label", "label").alias("label"), F.col("_label").isNotNull().alias("moved")), "cc-pointers")
-            up = made.select("node", "label")
-            if not made.where("moved").limit(1).count():
-                break
+            jumped = up.join(over, F.col("label") == F.col("_over"), "left").select("node", F.coalesce("_label", "label").alias("label"), F.col("_label").isNotNull().alias("moved"))
+            up = replaced(up, save(jumped, "cc-pointers"))
         step = up.select(F.col("node").alias("_from"), F.col("label").alias("_to"))
         if labels is None:
-            labels = up
+            labels = save(up.select("node", "label"), "cc-labels")
         else:
             moved = labels.join(step, F.col("label") == F.col("_from"), "left").select("node", F.coalesce("_to", "label").alias("label"))
-            labels = save(moved.unionByName(up), "cc-labels")
+            labels = replaced(labels, save(moved.unionByName(up.select("node", "label")), "cc-labels"))
         one = pairs.join(step, F.col("a") == F.col("_from"), "left").select(F.coalesce("_to", "a").alias("a"), "b")
         two = one.join(step, F.col("b") == F.col("_from"), "left").select("a", F.coalesce("_to", "b").alias("b"))
-        pairs = save(two.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "cc-edges")
+        pairs = replaced(pairs, save(two.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "cc-edges"))
+        drop(up)
         if not pairs.limit(1).count():
+            drop(pairs)
             return labels.unionByName(labels.select(F.col("label").alias("node"), "label").distinct())
 
 
+def replaced(old: DataFrame, new: DataFrame) -> DataFrame:
+    drop(old)
+    return new
+
+
 def grouped(nodes: DataFrame, edges: DataFrame, node: str = "node") -> DataFrame:
     """nodes with group_id: the component's label, or the node itself."""
     labels = connected_components(edges).select(F.col("node").alias("_node"), F.col("label").alias("_label"))

@@ -92,8 +92,15 @@ def copy_edges(rows: DataFrame, threshold: int) -> DataFrame:
     return stars.unionByName(links.join(one, "ha").join(two, "hb").select("a", "b"))
 
 
-def distance_histogram(pairs: DataFrame) -> DataFrame:
-    return pairs.groupBy("d").agg(F.count("*").alias("pairs"))
+def distance_histogram(rows: DataFrame, threshold: int, *keys: str) -> DataFrame:
+    """keys, d, pairs: pairs of rows (h) with equal keys within a threshold, from counts by hash."""
+    counts = rows.where("h IS NOT NULL").groupBy(*keys, "h").agg(F.count("*").alias("n"))
+    one, two = (counts.select(*(F.col(k).alias(f"{c}_{k}") for k in keys), F.col("h").alias(f"h{c}"), F.col("n").alias(f"n{c}")) for c in "ab")
+    met = hash_links(counts, counts, threshold).where("ha <= hb").join(one, "ha").join(two, "hb")
+    for k in keys:
+        met = met.where(F.col(f"a_{k}").eqNullSafe(F.col(f"b_{k}")))
+    pairs = F.when(F.col("ha") == F.col("hb"), F.col("na") * (F.col("na") - 1) / 2).otherwise(F.col("na") * F.col("nb")).cast("long")
+    return met.groupBy(*(F.col(f"a_{k}").alias(k) for k in keys), "d").agg(F.sum(pairs).alias("pairs")).where("pairs > 0")
 
 
 def overlap_counts(left: DataFrame, right: DataFrame, thresholds: tuple[int, ...] = (0, 2, 4, 8)) -> DataFrame:
@@ -104,6 +111,30 @@ def overlap_counts(left: DataFrame, right: DataFrame, thresholds: tuple[int, ...
     return sums.select(F.inline(F.array(*(F.struct(F.lit(t).alias("threshold"), F.col(str(t)).alias("pairs")) for t in thresholds))))
 
 
+def first_pairs(rows: DataFrame, threshold: int, n: int, *keys: str) -> DataFrame:
+    """keys, a < b, d: for each value of the keys the first n pairs of rows (id, h) within a threshold, by a and b.
+
+    A pair whose row has n smaller rows of its hash beside it comes after n others, so only the n smallest
+    rows of a hash are put together.
+    """
+    from .ranking import capped
+
+    few = capped(rows.where("h IS NOT NULL").select(*keys, "h", "id"), [*keys, "h"], [F.col("id")], n + 1)
+    one, two = (few.select(*(F.col(k).alias(f"{c}_{k}") for k in keys), F.col("h").alias(f"h{c}"), F.col("id").alias(c)) for c in "ab")
+    met = hash_links(few, few, threshold).join(one, "ha").join(two, "hb").where("a < b")
+    for k in keys:
+        met = met.where(F.col(f"a_{k}").eqNullSafe(F.col(f"b_{k}")))
+    return capped(met.select(*(F.col(f"a_{k}").alias(k) for k in keys), "a", "b", "d"), list(keys), [F.col("a"), F.col("b")], n)
+
+
+def first_equal_pairs(left: DataFrame, right: DataFrame, n: int = 10) -> DataFrame:
+    """The first n pairs (a, b) of rows (id, h) of two tables with equal hashes, by a and b; of a hash with more rows than n only the n smallest ids can be among them."""
+    from .ranking import capped
+
+    least = lambda rows, name: capped(rows.where("h IS NOT NULL"), ["h"], [F.col("id")], n).select("h", F.col("id").alias(name))
+    return least(left, "a").join(least(right, "b"), "h").select("a", "b").orderBy("a", "b").limit(n)
+
+
 def random_pair_distance(rows: DataFrame, seed: int = 1) -> DataFrame:
     """mean_distance, pairs over pairs of neighbours in a seeded order: near 32 for sound hashes."""
     from .ranking import ranked, seeded

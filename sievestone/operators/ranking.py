@@ -15,23 +15,31 @@ def seeded(seed: int, *keys: str) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *(F.col(k).cast("string") for k in keys)))
 
 
-def ranked(rows: DataFrame, keys: list[str], order: list[Column], name: str = "rank") -> DataFrame:
-    """Adds the rank from 1 within keys, without gathering a key's rows in one task.
+def cumulative(rows: DataFrame, keys: list[str], order: list[Column], amount: Column, name: str, total: str | None = None) -> DataFrame:
+    """Adds the running sum of a whole amount within keys, and its sum over the key as total, without gathering a key's rows in one task.
 
-    Rows are dealt by range over keys and order; a row's rank is its place in its own partition plus the
-    rows of its key in the partitions before. order must be a total order of ascending columns.
+    Rows are dealt by range over keys and order; a row's sum is that in its own partition plus the
+    sums of its key in the partitions before. order must be a total order of ascending columns.
     """
-    dealt = rows
+    dealt = rows.withColumn("_amount", amount)
     for k, c in enumerate(order):
         dealt = dealt.withColumn(f"_order{k}", c)
     by = [f"_order{k}" for k in range(len(order))]
     dealt = save(dealt.repartitionByRange(*[*keys, *by]).withColumn("_part", F.spark_partition_id()), "ranked")
-    before = W.partitionBy(*keys).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
-    parts = dealt.groupBy(*keys, "_part").agg(F.count("*").alias("_n")).withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    here = F.row_number().over(W.partitionBy(*keys, "_part").orderBy(*by))
+    of_key = W.partitionBy(*keys)
+    parts = dealt.groupBy(*keys, "_part").agg(F.sum("_amount").alias("_sum"))  # a row for each key and partition
+    before = F.coalesce(F.sum("_sum").over(of_key.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    parts = parts.withColumns({"_before": before, "_total": F.sum("_sum").over(of_key)}).drop("_sum")
+    here = F.sum("_amount").over(W.partitionBy(*keys, "_part").orderBy(*by).rowsBetween(W.unboundedPreceding, 0))
     shared = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in [*keys, "_part"]]
     joined = dealt.withColumn("_here", here).alias("a").join(parts.alias("b"), shared)
-    return joined.select("a.*", (F.col("a._here") + F.col("b._before")).alias(name)).drop("_part", "_here", *by)
+    sums = [(F.col("a._here") + F.col("b._before")).alias(name), *([F.col("b._total").alias(total)] if total else [])]
+    return joined.select("a.*", *sums).drop("_part", "_here", "_amount", *by)
+
+
+def ranked(rows: DataFrame, keys: list[str], order: list[Column], name: str = "rank") -> DataFrame:
+    """Adds the rank from 1 within keys in a total order of ascending columns, without gathering a key's rows in one task."""
+    return cumulative(rows, keys, order, F.lit(1).cast("long"), name)
 
 
 def first_rows(rows: DataFrame, order: list[Column], n: int) -> DataFrame:

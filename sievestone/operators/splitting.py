@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from ..functions.scalars import hamming
+from ..sources.scratch import save
+from .hamming import hash_links
 from .ranking import ranked, seeded
 
 SPLITS = ("train", "val", "test")
@@ -68,13 +71,19 @@ def stratified_group_split(groups: DataFrame, ratios: tuple[float, float, float]
 
 
 def series_links(rows: DataFrame, gap: int = 2, threshold: int = 16) -> DataFrame:
-    """a, b, d: neighbours in a series (id, prefix, number, h) at most gap apart in number and threshold in distance."""
-    from ..functions.scalars import hamming
+    """a, b, d: neighbours in a series (id, prefix, number, h) at most gap apart in number and threshold in distance.
 
-    order = W.partitionBy("prefix").orderBy("number", "id")
-    before = rows.select("id", "number", "h", *(F.lag(c).over(order).alias(f"_{c}") for c in ("id", "number", "h")))
-    d = hamming(F.col("h"), F.col("_h"))
-    return before.where((F.col("number") - F.col("_number") <= gap) & (d <= threshold)).select(F.col("_id").alias("a"), F.col("id").alias("b"), d.alias("d"))
+    Rows are dealt by range, so that a series may lie in many partitions; the last row of a partition is
+    carried to the first of the next one that has the series.
+    """
+    dealt = save(rows.select("prefix", "number", "id", "h").repartitionByRange("prefix", "number", "id").withColumn("part", F.spark_partition_id()), "series")
+    place = F.struct("number", "id", "h")
+    ends = dealt.groupBy("prefix", "part").agg(F.min(place).alias("first"), F.max(place).alias("last"))  # a row for each series and partition
+    carried = ends.select(F.lag("last").over(W.partitionBy("prefix").orderBy("part")).alias("one"), F.col("first").alias("two")).where("one IS NOT NULL")
+    inside = dealt.select(F.lag(place).over(W.partitionBy("prefix", "part").orderBy("number", "id")).alias("one"), place.alias("two")).where("one IS NOT NULL")
+    d = hamming(F.col("one.h"), F.col("two.h"))
+    near = (F.col("two.number") - F.col("one.number") <= gap) & (d <= threshold)
+    return inside.unionByName(carried).where(near).select(F.col("one.id").alias("a"), F.col("two.id").alias("b"), d.alias("d"))
 
 
 def source_links(rows: DataFrame, key: str = "source") -> DataFrame:
@@ -83,22 +92,22 @@ def source_links(rows: DataFrame, key: str = "source") -> DataFrame:
     return rows.join(least, rows[key] == least["_key"]).where("id <> a").select("a", F.col("id").alias("b"))
 
 
-def placed_pairs(pairs: DataFrame, assignment: DataFrame) -> DataFrame:
-    """Pairs (a, b, d) with the splits of both ends; pairs with an end that has none are left out."""
-    one, two = (assignment.select(F.col("id").alias(c), F.col("split").alias(f"split_{c}")) for c in "ab")
-    return pairs.join(one, "a").join(two, "b")
-
-
-def crossing_histogram(pairs: DataFrame, assignment: DataFrame) -> DataFrame:
-    """d, crossing, pairs."""
-    crossing = (F.col("split_a") != F.col("split_b")).alias("crossing")
-    return placed_pairs(pairs, assignment).groupBy("d", crossing).agg(F.count("*").alias("pairs"))
+def split_pair_counts(rows: DataFrame, threshold: int) -> DataFrame:
+    """first_split, second_split (in order of name), d, pairs: pairs of rows (id, h, split) within a threshold, from counts by hash and split. Rows without a split are left out."""
+    counts = rows.where("h IS NOT NULL AND split IS NOT NULL").groupBy("h", "split").agg(F.count("*").alias("n"))
+    one, two = (counts.select(F.col("h").alias(f"h{c}"), F.col("split").alias(f"split_{c}"), F.col("n").alias(f"n{c}")) for c in "ab")
+    met = hash_links(counts, counts, threshold).where("ha <= hb").join(one, "ha").join(two, "hb")
+    own = (F.col("ha") == F.col("hb")) & (F.col("split_a") == F.col("split_b"))
+    pairs = F.when(own, F.col("na") * (F.col("na") - 1) / 2).otherwise(F.col("na") * F.col("nb")).cast("long")
+    once = met.where("ha < hb OR split_a <= split_b")
+    sums = once.groupBy(F.least("split_a", "split_b").alias("first_split"), F.greatest("split_a", "split_b").alias("second_split"), "d").agg(F.sum(pairs).alias("pairs"))
+    return sums.where("pairs > 0")
 
 
-def split_pair_counts(pairs: DataFrame, assignment: DataFrame) -> DataFrame:
-    """first_split, second_split (in order of name), d, pairs."""
-    placed = placed_pairs(pairs, assignment)
-    return placed.groupBy(F.least("split_a", "split_b").alias("first_split"), F.greatest("split_a", "split_b").alias("second_split"), "d").agg(F.count("*").alias("pairs"))
+def crossing_histogram(rows: DataFrame, threshold: int) -> DataFrame:
+    """d, crossing, pairs of rows (id, h, split) within a threshold."""
+    crossing = (F.col("first_split") != F.col("second_split")).alias("crossing")
+    return split_pair_counts(rows, threshold).groupBy("d", crossing).agg(F.sum("pairs").alias("pairs"))
 
 
 def collisions(entries: DataFrame, key: str | Column = "entry") -> DataFrame:

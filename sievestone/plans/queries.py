@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import scalars as S
 from ..operators import audit, coco, compliance, evaluate, graph, hamming, labels, quarantine, ranking, splitting
 from ..sources import files
-from ..sources.scratch import new_folder
+from ..sources.scratch import new_folder, save
 from ..streaming import frames, gate
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,6 +46,8 @@ LINES = f"""SELECT cast(l_orderkey AS string) AS stem, {SPLIT.format(k='l_orderk
  WHEN 3 THEN '7 0.5 0.5 0.2 0.2' WHEN 4 THEN '0 1.2 -0.1 0.2 0.2' WHEN 5 THEN '0 0.5 0.5 0 0.2' WHEN 6 THEN ''
  ELSE cast(l_suppkey % 2 AS string) || ' 0.' || lpad(cast(l_partkey % 1000 AS string), 3, '0') || '  0.' || lpad(cast(l_suppkey % 1000 AS string), 3, '0')
  || ' 0.' || lpad(cast(1 + l_partkey % 99 AS string), 3, '0') || ' 0.250 ' END AS line, l_partkey FROM {{lineitem}}"""
+#: The same lines where none is broken.
+GOOD_LINES = f"SELECT stem, split, line_no, {LINES[LINES.index('cast(l_suppkey % 2') : LINES.index(' END AS line')]} AS line FROM (SELECT *, cast(l_orderkey AS string) AS stem, {SPLIT.format(k='l_orderkey')} AS split, l_linenumber - 1 AS line_no FROM {{lineitem}})"
 BOXES = f"""SELECT cast(l_orderkey AS string) AS image, {SPLIT.format(k='l_orderkey')} AS split, cast(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) AS int) AS idx, l_suppkey % 5 AS cls5, cast(l_suppkey % 2 AS int) AS cls,
  (l_partkey % 97) / 97.0D AS xc, (l_partkey % 89) / 89.0D AS yc, (5 + l_partkey % 20) / 50.0D AS w, (5 + l_partkey % 30) / 60.0D AS h,
  cast(l_partkey % 1000 AS int) AS px, cast(l_suppkey % 700 AS int) AS py, cast(l_partkey % 300 AS int) AS pw, cast(l_suppkey % 200 AS int) AS ph, l_quantity FROM {{lineitem}}"""
@@ -148,11 +150,13 @@ def label_parse(spark, d):
     return labels.parse(lines(spark, d)).select("stem", "line_no", "n_fields", "cls", "xc", "yc", "w", "h")
 
 
+#: Modes that raise on broken lines.
+STRICT = ("profile", "scan")
+
+
 def validated(mode: str):
     def f(spark, d):
-        rows = lines(spark, d)
-        if mode in ("profile", "scan"):  # these raise on broken lines
-            rows = rows.where("l_partkey % 50 > 6")
+        rows = by_sql(spark, d, GOOD_LINES if mode in STRICT else LINES, "lineitem")
         return labels.validate(rows, mode, [0, 1]).select("stem", "line_no", "cls", F.array_join("errors", ";").alias("errors"), "is_box", "degenerate")
 
     f.__name__ = f"label_validate_{mode}"
@@ -169,11 +173,11 @@ for _mode, _errors, _box, _where in (
     ("qa", D_QA, f"({D_QA}) = ''", "true"),
     ("final", D_FINAL, "n_fields > 0", "true"),
     ("prepare", "CASE WHEN n_fields <> 5 OR NOT numeric OR NOT known OR bad_centre OR bad_size THEN 'bad' ELSE '' END", "n_fields = 5 AND numeric AND known AND NOT bad_centre AND NOT bad_size", "n_fields > 0"),
-    ("profile", "''", "n_fields = 5", "l_partkey % 50 > 6"),
+    ("profile", "''", "n_fields = 5", "true"),
     ("transfer", "CASE WHEN cls IS NULL THEN 'parse_error' ELSE '' END", "cls IS NOT NULL", "n_fields > 0"),
-    ("scan", "''", "true", "l_partkey % 50 > 6"),
+    ("scan", "''", "true", "true"),
 ):
-    query(f"WITH {D_PARSED} SELECT stem, line_no, cls, {_errors} AS errors, coalesce({_box}, false) AS is_box, coalesce({D_DEGENERATE}, false) AS degenerate FROM v WHERE {_where}")(validated(_mode))
+    query(f"WITH {D_PARSED.replace(D_LINES, duck(GOOD_LINES)) if _mode in STRICT else D_PARSED} SELECT stem, line_no, cls, {_errors} AS errors, coalesce({_box}, false) AS is_box, coalesce({D_DEGENERATE}, false) AS degenerate FROM v WHERE {_where}")(validated(_mode))
 
 
 @query(f"""WITH {D_PARSED}, n AS (SELECT * FROM v WHERE n_fields > 0), k AS (SELECT stem, min(line_no) FILTER (WHERE cls IS NULL) AS broken FROM n GROUP BY stem)
@@ -217,9 +221,9 @@ def class_composition(spark, d):
     return audit.composition(table(spark, d, "documents").select("doc_id").join(marks, "doc_id", "left"), 0, 1, "doc_id")
 
 
-@query("""SELECT doc_id, d.k IS NOT NULL AS has_image, l.k IS NOT NULL AS has_label FROM (SELECT DISTINCT doc_id, 1 AS k FROM documents WHERE doc_id % 7 <> 0) d FULL JOIN (SELECT DISTINCT doc_id, 1 AS k FROM labels) l USING (doc_id)""")
+@query("""SELECT doc_id, d.k IS NOT NULL AS has_image, l.k IS NOT NULL AS has_label FROM (SELECT DISTINCT doc_id, 1 AS k FROM documents WHERE length(text) > 300) d FULL JOIN (SELECT DISTINCT doc_id, 1 AS k FROM labels) l USING (doc_id)""")
 def image_label_pairs(spark, d):
-    return audit.pair_up(table(spark, d, "documents").where("doc_id % 7 <> 0"), table(spark, d, "labels"), ["doc_id"])
+    return audit.pair_up(table(spark, d, "documents").where("length(text) > 300"), table(spark, d, "labels"), ["doc_id"])
 
 
 @query(f"""WITH i AS ({D_IMAGES}) SELECT path FROM i WHERE id NOT IN (SELECT doc_id FROM labels)""")
@@ -298,9 +302,10 @@ def source_kinds(spark, d):
     return table(spark, d, "customer").select("c_custkey", S.source_kind(name).alias("kind"))
 
 
-@query("SELECT 'parquet' AS suffix, count(*) AS tables FROM (SELECT 1 FROM region LIMIT 1)")
+@query()
 def file_inventory(spark, d):
-    return files.scan_files(spark, d, "region.parquet").groupBy(F.substring("suffix", 2, 9).alias("suffix")).agg(F.count("*").alias("tables"))
+    """Every file below the tables' folder; tests compare it with a listing."""
+    return files.scan_files(spark, d).select("stem", "suffix", "length")
 
 
 # Boxes
@@ -381,10 +386,19 @@ def iou_candidates(spark, d):
     return evaluate.candidates(predictions, truth).withColumn("iou", F.round("iou", 6))
 
 
-@query()
+D_GREEDY = f"""{D_IOU}, c AS (SELECT image, pred, gt, i / greatest(s - i, 1e-9) AS iou, row_number() OVER (PARTITION BY image ORDER BY i / greatest(s - i, 1e-9) DESC, pred, gt) AS k FROM o WHERE i / greatest(s - i, 1e-9) >= 0.5),
+t AS (SELECT image, k, pred, gt, iou, [pred] AS ps, [gt] AS gs, true AS hit FROM c WHERE k = 1 UNION ALL
+SELECT c.image, c.k, c.pred, c.gt, c.iou, CASE WHEN list_contains(ps, c.pred) OR list_contains(gs, c.gt) THEN ps ELSE list_append(ps, c.pred) END,
+CASE WHEN list_contains(ps, c.pred) OR list_contains(gs, c.gt) THEN gs ELSE list_append(gs, c.gt) END, NOT (list_contains(ps, c.pred) OR list_contains(gs, c.gt)) FROM t JOIN c ON c.image = t.image AND c.k = t.k + 1),
+m AS (SELECT image, pred, gt, iou FROM t WHERE hit)"""
+D_OUTCOMES = f"""{D_GREEDY}, u AS (SELECT g.image, g.cls, CASE WHEN m.gt IS NULL THEN 'fn' ELSE 'tp' END AS outcome FROM g LEFT JOIN m ON m.image = g.image AND m.gt = g.idx
+UNION ALL SELECT p.image, p.cls, 'fp' FROM p LEFT JOIN m ON m.image = p.image AND m.pred = p.idx WHERE m.pred IS NULL)"""
+
+
+@query(f"WITH RECURSIVE {D_GREEDY} SELECT image, pred, gt, round(iou, 6) AS iou FROM m")
 def greedy_matches(spark, d):
     truth, predictions = truth_and_predictions(spark, d)
-    return evaluate.greedy_matches(predictions, truth)
+    return evaluate.greedy_matches(predictions, truth).withColumn("iou", F.round("iou", 6))
 
 
 def box_outcomes(spark: SparkSession, d: str) -> DataFrame:
@@ -392,14 +406,31 @@ def box_outcomes(spark: SparkSession, d: str) -> DataFrame:
     return evaluate.outcomes(predictions, truth, evaluate.greedy_matches(predictions, truth))
 
 
-@query()
+@query(f"WITH RECURSIVE {D_OUTCOMES} SELECT cls, count(*) FILTER (WHERE outcome = 'tp') AS tp, count(*) FILTER (WHERE outcome = 'fn') AS fn, count(*) FILTER (WHERE outcome = 'fp') AS fp FROM u GROUP BY ROLLUP (cls)")
 def match_totals(spark, d):
     return evaluate.totals(box_outcomes(spark, d))
 
 
-@query()
+@query(f"""WITH RECURSIVE {D_OUTCOMES}, e AS (SELECT image, count(*) FILTER (WHERE outcome = 'fn') AS fn, count(*) FILTER (WHERE outcome = 'fp') AS fp,
+coalesce(array_to_string(list_sort(list(cls) FILTER (WHERE outcome = 'fn')), ','), '') AS fn_classes, coalesce(array_to_string(list_sort(list(cls) FILTER (WHERE outcome = 'fp')), ','), '') AS fp_classes FROM u GROUP BY image)
+SELECT * FROM e WHERE fn + fp > 0 ORDER BY fn + fp DESC, image LIMIT 50""")
 def worst_images(spark, d):
-    return evaluate.worst_images(box_outcomes(spark, d))
+    return evaluate.worst_images(box_outcomes(spark, d)).withColumns({c: F.array_join(c, ",") for c in ("fn_classes", "fp_classes")})
+
+
+D_OVERLAPS = ", ".join(f"({x})" for x in evaluate.OVERLAPS)
+
+
+@query(f"""WITH s AS (SELECT cast(l_suppkey % 5 AS int) AS cls, (l_partkey % 100) / 100.0 AS conf, (l_orderkey % 60) / 60.0 AS iou FROM lineitem), n AS (SELECT cls, count(*) AS n FROM s GROUP BY 1),
+t AS (SELECT least, cls, conf, count(*) FILTER (WHERE iou >= least) AS hits, count(*) AS a FROM s, (VALUES {D_OVERLAPS}) l(least) GROUP BY ALL),
+u AS (SELECT *, sum(hits) OVER w AS tp, sum(a) OVER w AS seen FROM t WINDOW w AS (PARTITION BY least, cls ORDER BY conf DESC)),
+v AS (SELECT *, max(tp / seen) OVER (PARTITION BY least, cls ORDER BY conf DESC ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS best FROM u),
+ap AS (SELECT least, cls, sum(best * hits / n) AS ap FROM v JOIN n USING (cls) GROUP BY ALL), f AS (SELECT cls, tp / seen AS p, tp / n AS r, row_number() OVER (PARTITION BY cls ORDER BY 2 * tp / (n + seen) DESC, conf DESC) AS k FROM u JOIN n USING (cls) WHERE least = 0.5),
+z AS (SELECT cls, p, r, (SELECT ap FROM ap WHERE ap.cls = f.cls AND least = 0.5) AS a, (SELECT avg(ap) FROM ap WHERE ap.cls = f.cls) AS b FROM f WHERE k = 1)
+SELECT cls, round(p, 6) AS precision, round(r, 6) AS recall, round(a, 6) AS ap50, round(b, 6) AS ap50_95 FROM z UNION ALL SELECT NULL, round(avg(p), 6), round(avg(r), 6), round(avg(a), 6), round(avg(b), 6) FROM z""")
+def detection_report(spark, d):
+    rows = table(spark, d, "lineitem").select((F.col("l_suppkey") % 5).cast("int").alias("cls"), (F.col("l_partkey") % 100 / 100.0).alias("conf"), (F.col("l_orderkey") % 60 / 60.0).alias("iou"))
+    return evaluate.detection_report(rows, rows).select("cls", *(F.round(c, 6).alias(c) for c in ("precision", "recall", "ap50", "ap50_95")))
 
 
 @query("""WITH s AS (SELECT cast(l_suppkey % 5 AS int) AS cls, (l_partkey % 100) / 100.0 AS conf, l_quantity > 25 AS hit FROM lineitem), n AS (SELECT cast(l_suppkey % 5 AS int) AS cls, count(*) AS n FROM lineitem GROUP BY 1),
@@ -431,7 +462,7 @@ def hamming_pairs_close(spark, d):
 
 @query(f"WITH {D_PAIRS.format(t=NEAR)} SELECT d, count(*) AS pairs FROM p GROUP BY d")
 def hamming_histogram(spark, d):
-    return hamming.distance_histogram(hamming.hamming_pairs(hashes(spark, d), NEAR))
+    return hamming.distance_histogram(hashes(spark, d), NEAR)
 
 
 @query(f"""WITH b AS ({D_BITS}), x AS (SELECT hamming(l.h, r.h) AS d FROM b l, b r WHERE l.id % 2 = 0 AND r.id % 2 = 1)
@@ -441,7 +472,11 @@ def overlap_counts(spark, d):
     return hamming.overlap_counts(rows.where("id % 2 = 0"), rows.where("id % 2 = 1"), (16, 18, 20))
 
 
-@query()
+D_RANDOM = "md5('1|' || id)"
+
+
+@query(f"""WITH b AS ({D_BITS}), r AS (SELECT id, h, row_number() OVER (ORDER BY {D_RANDOM}, id) - 1 AS k FROM b), t AS (SELECT k // 2 AS pair, min(h) AS x, max(h) AS y, count(*) AS n FROM r GROUP BY 1)
+SELECT round(avg(hamming(x, y)), 6) AS mean_distance, count(*) AS pairs FROM t WHERE n = 2""")
 def random_pair_distance(spark, d):
     return hamming.random_pair_distance(hashes(spark, d)).withColumn("mean_distance", F.round("mean_distance", 6))
 
@@ -493,14 +528,12 @@ def near_quarantine(spark, d):
 
 @query(f"WITH {D_PAIRS.format(t=NEAR)} SELECT d, ({SPLIT.format(k='a')}) <> ({SPLIT.format(k='b')}) AS crossing, count(*) AS pairs FROM p GROUP BY 1, 2")
 def crossing_histogram(spark, d):
-    rows = hashes(spark, d)
-    return splitting.crossing_histogram(hamming.hamming_pairs(rows, NEAR), rows)
+    return splitting.crossing_histogram(hashes(spark, d), NEAR)
 
 
 @query(f"WITH {D_PAIRS.format(t=NEAR)}, s AS (SELECT d, {SPLIT.format(k='a')} AS x, {SPLIT.format(k='b')} AS y FROM p) SELECT least(x, y) AS first_split, greatest(x, y) AS second_split, d, count(*) AS pairs FROM s GROUP BY 1, 2, 3")
 def split_pair_counts(spark, d):
-    rows = hashes(spark, d)
-    return splitting.split_pair_counts(hamming.hamming_pairs(rows, NEAR), rows)
+    return splitting.split_pair_counts(hashes(spark, d), NEAR)
 
 
 @query(f"""WITH b AS ({D_BITS}), s AS (SELECT id, h, lag(id) OVER w AS pid, lag(h) OVER w AS ph FROM b WINDOW w AS (PARTITION BY label ORDER BY id))
@@ -531,6 +564,138 @@ def resplit_crossings(spark, d):
     return verify(rows, resplit(rows, NEAR, (0.8, 0.1, 0.1)), NEAR)
 
 
+D_RULES = f"""{D_PAIRS.format(t=NEAR)}, y AS (SELECT id, h, lag(id) OVER w AS pid, lag(h) OVER w AS ph FROM b WINDOW w AS (PARTITION BY label ORDER BY id)),
+l AS (SELECT a, b FROM p UNION SELECT (id // 7) * 7, id FROM b WHERE id % 7 <> 0 UNION SELECT pid, id FROM y WHERE id - pid <= 20 AND hamming(h, ph) <= 24), e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(node, reach) AS (SELECT id, id FROM b UNION SELECT r.node, e.b FROM r JOIN e ON r.reach = e.a)"""
+
+
+def ruled(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of sources of seven ids and of series by label."""
+    rows = hashes(spark, d).withColumn("profile", F.concat(F.lit("label"), F.col("label").cast("string")))
+    return rows.withColumns({"source": F.floor(F.col("id") / 7), "prefix": F.col("label"), "number": F.col("id")})
+
+
+@query(f"WITH RECURSIVE {D_RULES} SELECT node AS id, min(reach) AS group_id FROM r GROUP BY node")
+def rule_groups(spark, d):
+    """Groups by near copies, sources and series together."""
+    from .resplit import rule_links
+
+    rows = ruled(spark, d)
+    source, series = rule_links(rows, 20, 24)
+    return graph.grouped(rows, hamming.copy_edges(rows, NEAR).unionByName(source).unionByName(series), "id").select("id", "group_id")
+
+
+@query()
+def rule_leakage(spark, d):
+    """Pairs within and across the official split, what the quarantine keeps of it, and the new split by all three rules."""
+    from .resplit import leakage, resplit_by_rules
+
+    rows = ruled(spark, d)
+    return leakage(rows, save(resplit_by_rules(rows, NEAR, (0.8, 0.1, 0.1), 20, 24), "resplit"), NEAR)
+
+
+@query(f"""WITH i AS ({D_IMAGES}), a AS (SELECT id AS a, text FROM i WHERE split = 'train'), b AS (SELECT id AS b, text FROM i WHERE split <> 'train') SELECT a, b FROM a JOIN b USING (text) ORDER BY a, b LIMIT 10""")
+def overlap_examples(spark, d):
+    rows = images(spark, d).select("id", "split", F.conv(F.substring(F.md5("text"), 1, 15), 16, 10).cast("long").alias("h"))
+    return hamming.first_equal_pairs(rows.where("split = 'train'"), rows.where("split <> 'train'"))
+
+
+@query(f"""WITH {D_PAIRS.format(t=NEAR)}, {D_PARSED}, k AS (SELECT cast(stem AS bigint) AS id, count(*) FILTER (WHERE ({D_QA}) <> '') AS errors FROM v GROUP BY 1), i AS (SELECT id, label, {D_SPLIT_ID} AS split FROM b),
+fl AS (SELECT split, label <> 3 AS readable, errors IS NOT NULL AS has_label, coalesce(errors, 0) AS errors FROM i LEFT JOIN k USING (id)),
+n AS (SELECT split, count(*) AS images, count(*) FILTER (WHERE NOT readable) AS unreadable, count(*) FILTER (WHERE NOT has_label) AS without_label, count(*) FILTER (WHERE errors > 0) AS label_errors FROM fl GROUP BY split),
+x AS (SELECT i.split, cls, count(*) AS c FROM v JOIN i ON i.id = cast(stem AS bigint) WHERE ({D_QA}) = '' GROUP BY ALL), y AS (SELECT split, cast(sum(c) AS bigint) AS boxes, string_agg(cls || ':' || c, ',' ORDER BY cls) AS class_counts FROM x GROUP BY split),
+s AS (SELECT i.split, a, b, d, row_number() OVER (PARTITION BY i.split ORDER BY a, b) AS rn FROM p JOIN i ON i.id = a JOIN i j ON j.id = b AND j.split = i.split WHERE i.label <> 3 AND j.label <> 3),
+e AS (SELECT split, count(*) AS duplicate_pairs, string_agg(a || '-' || b || ':' || d, ',' ORDER BY a, b) FILTER (WHERE rn <= 10) AS examples FROM s GROUP BY split)
+SELECT n.*, unreadable + without_label + label_errors AS errors_total, coalesce(boxes, 0) AS boxes, class_counts, coalesce(duplicate_pairs, 0) AS duplicate_pairs, examples FROM n LEFT JOIN y USING (split) LEFT JOIN e USING (split)""")
+def qa_report(spark, d):
+    checked = labels.validate(lines(spark, d), "qa", [0, 1], ("stem", "line_no")).withColumn("id", F.col("stem").cast("long"))
+    rows = hashes(spark, d)
+    per = checked.groupBy("id").agg(F.count_if(F.size("errors") > 0).alias("errors"))
+    files_ = rows.join(per, "id", "left").select("split", (F.col("label") != 3).alias("readable"), F.col("errors").isNotNull().alias("has_label"), F.coalesce("errors", F.lit(0)).alias("n_errors"))
+    valid = checked.where("is_box").join(rows.select("id", "split"), "id").select("split", "cls")
+    made = audit.qa_report(files_, valid, rows.where("label <> 3"), NEAR)
+    counts = F.array_join(F.transform(F.map_entries("class_counts"), lambda x: F.concat_ws(":", x["key"].cast("string"), x["value"].cast("string"))), ",")
+    shown = F.array_join(F.transform("examples", lambda x: F.concat(x["a"].cast("string"), F.lit("-"), x["b"].cast("string"), F.lit(":"), x["d"].cast("string"))), ",")
+    return made.withColumns({"class_counts": counts, "examples": shown})
+
+
+# Sinks, and the sources that read them back
+
+
+@query(f"WITH i AS ({D_IMAGES}) SELECT path, split FROM i")
+def split_lists(spark, d):
+    folder = new_folder(spark, "split-lists")
+    files.write_split_lists(images(spark, d).select("path", "split"), folder)
+    parts = [files.scan_lists(spark, f"{folder}/split={s}").withColumn("split", F.lit(s)) for s in splitting.SPLITS]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query(ORACLES["exact_quarantine"].replace("SELECT id AS removed, kept, split", "SELECT cast(id AS varchar) AS removed, cast(kept AS varchar) AS kept, split"))
+def quarantine_manifest_file(spark, d):
+    folder = new_folder(spark, "manifest")
+    files.write_manifest(exact_quarantine(spark, d), folder)
+    return spark.read.option("header", True).csv(folder).select("removed", "kept", "split")
+
+
+@query(f"WITH i AS ({D_IMAGES}) SELECT split, count(*) AS documents, cast(sum(length(text)) AS bigint) AS characters FROM i GROUP BY split")
+def table_by_split(spark, d):
+    folder = new_folder(spark, "by-split")
+    files.write_by_split(images(spark, d).select("id", "split", "text"), folder)
+    rows = spark.read.schema("id long, text string, split string").parquet(folder)
+    return rows.groupBy("split").agg(F.count("*").alias("documents"), F.sum(F.length("text")).cast("long").alias("characters"))
+
+
+@query("SELECT p_name AS title, p_brand AS artist, p_type AS license_short, CASE WHEN p_size > 25 THEN p_brand END AS credit FROM part")
+def license_records(spark, d):
+    folder = new_folder(spark, "sidecars")
+    own = {"title": F.col("p_name"), "artist": F.col("p_brand"), "license_short": F.col("p_type"), "credit": F.when(F.col("p_size") > 25, F.col("p_brand"))}
+    files.write_sidecars(table(spark, d, "part").select(*(own.get(c, F.lit("Unknown")).alias(c) for c in files.SIDECAR)), folder)
+    return files.scan_sidecars(spark, folder, lines=True).select("title", "artist", "license_short", "credit")
+
+
+@query("""SELECT s_suppkey AS line_no, s_nationkey AS image_id, n_regionkey AS cls, round((s_suppkey % 100 + 20) / 640.0, 8) AS xc, 0.25 AS yc FROM supplier JOIN nation ON s_nationkey = n_nationkey
+UNION ALL SELECT NULL, n_nationkey, NULL, NULL, NULL FROM nation WHERE n_nationkey NOT IN (SELECT s_nationkey FROM supplier)""")
+def annotation_document(spark, d):
+    """A nested document of images, categories and annotations, written, scanned and converted."""
+    nation = table(spark, d, "nation")
+    image = F.struct(F.col("n_nationkey").cast("long").alias("id"), F.col("n_name").alias("file_name"), F.lit(640).alias("width"), F.lit(480).alias("height"))
+    category = F.struct((F.col("r_regionkey") * 3 + 1).cast("long").alias("id"), F.col("r_name").alias("name"))
+    note = F.struct(F.col("s_suppkey").cast("long").alias("id"), F.col("s_nationkey").cast("long").alias("image_id"), (F.col("n_regionkey") * 3 + 1).cast("long").alias("category_id"),
+                    F.array((F.col("s_suppkey") % 100).cast("double"), F.lit(100.0), F.lit(40.0), F.lit(40.0)).alias("bbox"), F.lit(0).alias("iscrowd"))
+    # A document for each image's annotations; images and categories in the document of image 0.
+    notes = table(spark, d, "supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey")).groupBy("s_nationkey").agg(F.collect_list(note).alias("annotations")).drop("s_nationkey")
+    heads = nation.agg(F.collect_list(image).alias("images")).join(table(spark, d, "region").agg(F.collect_list(category).alias("categories")))
+    folder = new_folder(spark, "annotations")
+    notes.withColumns({"images": F.lit(None), "categories": F.lit(None)}).unionByName(heads.withColumn("annotations", F.lit(None))).write.json(folder)
+    scanned = files.coco_tables(spark.read.schema(files.COCO).json(folder))
+    rows = coco.to_boxes(*scanned)
+    return rows.select("line_no", "image_id", F.col("cls").cast("long").alias("cls"), F.round("xc", 8).alias("xc"), "yc")
+
+
+@query(f"{D_BITS.replace('vec_id AS id, label', 'vec_id AS id').replace(' AS h', ' AS bits')}")
+def cached_hashes(spark, d):
+    """Hashes made on the first call and read on the second."""
+    at = new_folder(spark, "hash-cache")
+    made = lambda: hashes(spark, d).select("id", F.lpad(F.bin("h"), 64, "0").alias("bits"))
+    files.read_or_compute(spark, at, made)
+    return files.read_or_compute(spark, at, lambda: made().where("false"))
+
+
+@query("""WITH h AS (SELECT label, label || '-' || q AS query, p AS position FROM (VALUES ('a', 3), ('b', 1), ('c', 0)) l(label, n), range(4) r(q), range(9) s(p) WHERE q < n AND p < 2 + 3 * q AND p < 5)
+SELECT label, query, cast(position AS int) AS position, query || '#' || position AS title FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY query, position) AS rn FROM h) WHERE rn <= 8""")
+def search_hits(spark, d):
+    """Hits of a service with pages of three, at most five for each query and eight for each label."""
+    from ..sources.search import search, sidecars
+
+    def fetch(text, token):
+        last, first = 2 + 3 * int(text[-1]), int(token or 0)
+        hits = [{"title": f"{text}#{k}"} for k in range(first, min(last, first + 3))]
+        return hits, str(first + 3) if first + 3 < last else None
+
+    hits = search(spark, {"a": ["a-0", "a-1", "a-2"], "b": ["b-0"], "c": []}, fetch, 5, 8)
+    return hits.select("label", "query", "position", F.get_json_object("info", "$.title").alias("title"))
+
+
 # Aggregates, checks
 
 
@@ -573,6 +738,13 @@ def verdict(spark, d):
     return audit.verdict(checked(spark, d))
 
 
+@query(f"WITH {D_CHECK} SELECT * FROM c")
+def report_file(spark, d):
+    folder = new_folder(spark, "report")
+    files.write_report(checked(spark, d), folder)
+    return files.scan_report(spark, f"{folder}/*.json", "quantity string, expected long, measured long, difference long, ok boolean")
+
+
 # Compliance
 
 WORKERS = "SELECT c_custkey % 40 AS frame_no, c_custkey AS track_id, c_custkey AS pos, cast(c_custkey % 7 * 100 AS double) AS x1, 0.0D AS y1, cast(c_custkey % 7 * 100 + 80 AS double) AS x2, 200.0D AS y2 FROM {customer}"
@@ -620,6 +792,36 @@ def zone_status(spark, d):
     return compliance.zone_status(worn, zones).select("user_id", "zone", F.array_join(F.array_sort("missing"), ",").alias("missing"), "compliant")
 
 
+@query(f"""WITH w AS ({duck(WORKERS)}), i AS ({duck(ITEMS).replace('0.5D', '0.5')}), h AS (SELECT * FROM i WHERE cls = 'helmet'),
+s AS (SELECT h.frame_no, item AS head, track_id, greatest(least(w.x2, h.x2) - greatest(w.x1, h.x1), 0) * greatest(least(w.y2, h.y2) - greatest(w.y1, h.y1), 0) / ((h.x2 - h.x1) * (h.y2 - h.y1)) AS share FROM h JOIN w ON h.frame_no = w.frame_no)
+SELECT frame_no, head, track_id FROM (SELECT *, row_number() OVER (PARTITION BY frame_no, head ORDER BY share DESC, track_id) AS rn FROM s) WHERE rn = 1 AND share >= 0.5""")
+def head_assignment(spark, d):
+    workers, items = workers_and_items(spark, d)
+    return compliance.assign_heads(workers, items.where("cls = 'helmet'").withColumnRenamed("item", "idx"), 0.5)
+
+
+@query(f"""WITH w AS ({duck(WORKERS)}), i AS ({duck(ITEMS).replace('0.5D', '0.5')}), s AS (SELECT w.frame_no, track_id, greatest(least(w.x2, i.x2) - greatest(w.x1, i.x1), 0) * greatest(least(w.y2, i.y2) - greatest(w.y1, i.y1), 0) AS c FROM w JOIN i ON i.frame_no = w.frame_no AND cls = 'vest')
+SELECT frame_no, track_id FROM w WHERE (frame_no, track_id) NOT IN (SELECT (frame_no, track_id) FROM s WHERE c / (16000 + 400 - c) >= 0.02)""")
+def people_without_vest(spark, d):
+    workers, items = workers_and_items(spark, d)
+    return compliance.uncovered(workers, items.where("cls = 'vest'"), 0.02).select("frame_no", "track_id")
+
+
+@query("SELECT c_custkey, -(((c_custkey % 40) << 20) + c_custkey + 1) AS track FROM customer")
+def fallback_tracks(spark, d):
+    return table(spark, d, "customer").withColumn("frame", F.col("c_custkey") % 40).select("c_custkey", gate.fallback_track("frame", "c_custkey").alias("track"))
+
+
+@query(f"WITH b AS ({D_BOXES}) SELECT CASE cls5 WHEN 0 THEN 'smoke' WHEN 1 THEN 'fire' END AS name, count(*) AS boxes FROM b WHERE cls5 < 2 GROUP BY 1")
+def named_classes(spark, d):
+    from ..functions.parameters import parse_class_map, require_classes
+
+    names = parse_class_map("0:smoke,1:fire")
+    require_classes(names.values(), ["fire", "smoke"])
+    rows = boxes(spark, d).join(F.broadcast(spark.createDataFrame(list(names.items()), "cls5 long, name string")), "cls5")
+    return rows.groupBy("name").agg(F.count("*").alias("boxes"))
+
+
 D_GATE = """WITH e AS (SELECT *, event_type = 'error' AS bad FROM events), r AS (SELECT *, CASE WHEN bad THEN sum(CASE WHEN bad THEN 0 ELSE 1 END) OVER w ELSE sum(CASE WHEN bad THEN 1 ELSE 0 END) OVER w END AS run FROM e WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)),
 n AS (SELECT *, row_number() OVER (PARTITION BY user_id, bad, run ORDER BY ts, event_id) AS rl FROM r), p AS (SELECT *, sum(CASE WHEN NOT bad AND rl = 2 THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS ep FROM n),
 a AS (SELECT *, row_number() OVER (PARTITION BY user_id, ep ORDER BY ts, event_id) AS k FROM p WHERE bad AND rl >= 2)
@@ -743,4 +945,4 @@ def final_validation(spark, d):
     rows = hashes(spark, d).withColumn("path", F.concat(F.lit("label"), F.col("label").cast("string")))
     texts = table(spark, d, "documents").select(F.col("doc_id").alias("name"), "text")
     own = lines(spark, d).select(F.col("stem").cast("long").alias("id"), "line_no", "line")
-    return checks(rows, own, [0, 1], hamming.hamming_pairs(rows, NEAR), texts)
+    return checks(rows, own, [0, 1], NEAR, texts)

@@ -9,10 +9,10 @@ from ..functions.scalars import has_credentials
 from ..operators import audit, labels, splitting
 
 
-def checks(images: DataFrame, lines: DataFrame, classes: list[int], pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def checks(images: DataFrame, lines: DataFrame, classes: list[int], threshold: int, texts: DataFrame) -> DataFrame:
     """quantity, expected, measured, difference, ok.
 
-    images (id, split, path), lines (id, line_no, line), pairs (a, b, d) of near images, texts (name, text)
+    images (id, split, path, h), whose near pairs are those within threshold, lines (id, line_no, line), texts (name, text)
     of the files that go out. Errors and degenerate boxes are both counted; only errors have to be none.
     """
     checked = labels.validate(lines, "final", classes, ("id", "line_no"))
@@ -22,7 +22,7 @@ def checks(images: DataFrame, lines: DataFrame, classes: list[int], pairs: DataF
         one(checked, "label_errors", F.sum(F.size("errors"))),
         one(checked, "degenerate_boxes", F.count_if("degenerate")),
         one(splitting.collisions(images.select(F.col("path").alias("entry"))), "path_collisions", F.count("*")),
-        one(splitting.placed_pairs(pairs, images.select("id", "split")), "crossing_pairs", F.count_if(F.col("split_a") != F.col("split_b"))),
+        one(splitting.crossing_histogram(images, threshold).where("crossing"), "crossing_pairs", F.sum("pairs")),
         one(texts, "credential_files", F.count_if(has_credentials(F.col("text")))),
         one(checked.where("is_box"), "unexpected_classes", F.count_distinct(F.when(~F.col("cls").isin(*classes), F.col("cls")))),
     ]
@@ -34,6 +34,6 @@ def checks(images: DataFrame, lines: DataFrame, classes: list[int], pairs: DataF
     return audit.check(rows, expected)
 
 
-def validate(images: DataFrame, lines: DataFrame, classes: list[int], pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def validate(images: DataFrame, lines: DataFrame, classes: list[int], threshold: int, texts: DataFrame) -> DataFrame:
     """One row: status PASS or FAIL, checks, failed."""
-    return audit.verdict(checks(images, lines, classes, pairs, texts))
+    return audit.verdict(checks(images, lines, classes, threshold, texts))

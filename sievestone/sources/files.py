@@ -70,8 +70,9 @@ def read_or_compute(spark: SparkSession, path: str, make: Callable[[], DataFrame
     return spark.read.parquet(path)
 
 
-def scan_sidecars(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(", ".join(f"{c} STRING" for c in SIDECAR)).option("multiLine", True).json(path)
+def scan_sidecars(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """Licence records, of a file each or as write_sidecars() gives them, of a line each."""
+    return spark.read.schema(", ".join(f"{c} STRING" for c in SIDECAR)).option("multiLine", not lines).json(path)
 
 
 # Slots for decoders and models: the schema is fixed, the function comes from outside

@@ -2,20 +2,28 @@
 
 from __future__ import annotations
 
+import re
 import uuid
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Only where a session names no checkpoint folder, as in tests.
+#: Only where a local session names no checkpoint folder, as in tests.
 FALLBACK_FOLDER = "file:///tmp/checkpoints"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir."""
+    """The folder that driver and executors share: spark.checkpoint.dir. A cluster must name it, as each of its machines has a disk of its own."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not folder and not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     return (folder or FALLBACK_FOLDER).rstrip("/")
 
 
+#: Where save() has put what it returned.
+_folders: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder, removed when the session's file systems close."""
     path = f"{shared_folder(spark)}/sievestone/{name}-{uuid.uuid4().hex}"
@@ -28,4 +36,13 @@ def save(df: DataFrame, name: str) -> DataFrame:
     """Write df to the shared folder and read it back: cuts the lineage, survives lost executors."""
     path = new_folder(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    made = df.sparkSession.read.schema(df.schema).parquet(path)
+    _folders[made] = path
+    return made
+
+
+def drop(saved: DataFrame) -> None:
+    """Remove a table that save() has made and that no plan will read again; the end of the session does it otherwise."""
+    spark, path = saved.sparkSession, _folders.pop(saved)
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)

@@ -43,8 +43,8 @@ def gate_processor(confirm: int, clear: int, ttl_ms: int | None):
 
 
 def fallback_track(frame: str = "frame_no", box: str = "idx"):
-    """A negative id for a worker that no tracker knows: its status counts, it never raises an alert."""
-    return -(F.col(frame) * 1000 + F.col(box) + 1)
+    """A negative id for a worker that no tracker knows: its status counts, it never raises an alert. A frame has room for a million boxes."""
+    return -(F.shiftleft(F.col(frame).cast("long"), 20) + F.col(box) + 1)
 
 
 def alerts(statuses: DataFrame, confirm: int = 3, clear: int = 2, ttl_ms: int | None = None) -> DataFrame:

@@ -267,8 +267,69 @@ def test_preparation(spark):
     found = {(r["type"], r["source"], r["kept"], r["distance"], r["count"]) for r in made.manifest.collect()}
     assert found == {("exact_duplicate", "1", "2", None, None), ("near_duplicate", "3", "2", 1, None), ("invalid_label_lines_skipped", "2", None, None, 1), ("missing_label", "5", None, None, None)}
     good = spark.createDataFrame([(1, 0, "0 .5 .5 .1 .1")], "id long, line_no int, line string")
-    one = spark.createDataFrame([(1, "train", "p")], "id long, split string, path string")
-    none = spark.createDataFrame([], "a long, b long, d int")
+    one = spark.createDataFrame([(1, "train", "p", 0)], "id long, split string, path string, h long")
+    near = spark.createDataFrame([(1, "train", "p", 0), (2, "val", "q", 1)], "id long, split string, path string, h long")
+    both = good.unionByName(good.withColumn("id", F.lit(2)))
     text = lambda t: spark.createDataFrame([("f", t)], "name string, text string")
-    assert validate(one, good, [0], none, text("fine")).first()["status"] == "PASS"
-    assert validate(one, good, [0], none, text("password")).first()["status"] == "FAIL"
+    assert validate(one, good, [0], 2, text("fine")).first()["status"] == "PASS"
+    assert validate(one, good, [0], 2, text("password")).first()["status"] == "FAIL"
+    assert validate(near, both, [0], 0, text("fine")).first()["status"] == "PASS"
+    assert validate(near, both, [0], 2, text("fine")).first()["status"] == "FAIL"
+
+
+def test_pairs_are_counted_by_hash(spark):
+    """Against all pairs on a small table, and on a hash that 100,000 rows share."""
+    rng = random.Random(4)
+    rows = [(k, rng.choice([0, 1, 3, 7, 255, 1 << 63 - 1, None]), rng.choice(["train", "val", None])) for k in range(120)]
+    table = spark.createDataFrame([(i, h, s) for i, h, s in rows], "id long, h long, split string")
+    want = {}
+    for i, (a, ha, sa) in enumerate(rows):
+        for b, hb, sb in rows[:i]:
+            if None not in (ha, hb, sa, sb) and (ha ^ hb).bit_count() <= 3:
+                key = min(sa, sb), max(sa, sb), (ha ^ hb).bit_count()
+                want[key] = want.get(key, 0) + 1
+    made = splitting.split_pair_counts(table, 3).collect()
+    assert {(r["first_split"], r["second_split"], r["d"]): r["pairs"] for r in made} == want
+    within = hamming.distance_histogram(table.where("split IS NOT NULL"), 3, "split").collect()
+    assert {(r["split"], r["split"], r["d"]): r["pairs"] for r in within} == {k: n for k, n in want.items() if k[0] == k[1]}
+    pairs = hamming.hamming_pairs(table.select("id", "h"), 3).orderBy("a", "b").limit(7).collect()
+    assert hamming.first_pairs(table, 3, 7).orderBy("a", "b").collect() == pairs
+    hot = spark.range(100_000).selectExpr("id", "IF(id < 3, id, 7L) AS h", "IF(id % 2 = 0, 'a', 'b') AS split")
+    counts = {(r["d"], r["crossing"]): r["pairs"] for r in splitting.crossing_histogram(hot, 1).collect()}
+    n = 99_997
+    assert counts[0, True] + counts[0, False] == n * (n - 1) // 2
+    assert hamming.first_pairs(hot, 0, 10, "split").count() == 20
+
+
+def test_series_and_medians_over_partitions(spark):
+    rng = random.Random(6)
+    rows = [(k, rng.choice("ab"), rng.randint(0, 4000), rng.getrandbits(8)) for k in range(3000)]
+    table = spark.createDataFrame(rows, "id long, prefix string, number long, h long").repartition(9)
+    want = set()
+    for p in "ab":
+        own = sorted((n, i, h) for i, q, n, h in rows if q == p)
+        want |= {(a[1], b[1], (a[2] ^ b[2]).bit_count()) for a, b in zip(own, own[1:]) if b[0] - a[0] <= 2 and (a[2] ^ b[2]).bit_count() <= 5}
+    assert {tuple(r) for r in splitting.series_links(table, 2, 5).collect()} == want
+    made = {r["prefix"]: r for r in audit.statistics(table, ["prefix"], "number").collect()}
+    for p in "ab":
+        own = sorted(n for _, q, n, _ in rows if q == p)
+        assert made[p]["median"] == (own[(len(own) - 1) // 2] + own[len(own) // 2]) / 2 and made[p]["max"] == own[-1]
+
+
+def test_saved_tables_are_dropped_and_clusters_need_a_folder(spark):
+    import os
+
+    from sievestone.sources import scratch
+
+    saved = scratch.save(spark.range(3), "test")
+    at = saved.inputFiles()[0].removeprefix("file://")
+    assert os.path.exists(at)
+    scratch.drop(saved)
+    assert not os.path.exists(at)
+
+    class Cluster:
+        conf = type("Conf", (), {"get": staticmethod(lambda *a: None)})()
+        sparkContext = type("Context", (), {"master": "spark://host:7077", "getConf": staticmethod(lambda: Cluster.conf)})()
+
+    with pytest.raises(ValueError, match="share"):
+        scratch.shared_folder(Cluster)

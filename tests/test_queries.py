@@ -15,6 +15,19 @@ def test_query_against_sql(spark, small, duck, name):
         assert_same(made, duck.sql(ORACLES[name]).df())
 
 
+def test_inventory_equals_a_listing(spark, small):
+    import os
+
+    made = {(r["stem"] + r["suffix"], r["length"]) for r in QUERIES["file_inventory"](spark, small).collect()}
+    assert made == {(f, os.path.getsize(f"{small}/{f}")) for f in os.listdir(small)}
+
+
+def test_no_pair_crosses_a_split_by_rules(spark):
+    made = QUERIES["rule_leakage"](spark, "/root/testdata/sf0.01").collect()
+    assert {r["split"] for r in made} == {"official_all", "official_kept", "new"}
+    assert not any(r["crossing"] for r in made if r["split"] == "new") and any(r["crossing"] for r in made if r["split"] == "official_all")
+
+
 def test_no_pair_crosses_the_new_split(spark):
     made = QUERIES["resplit_crossings"](spark, "/root/testdata/sf0.01").collect()
     assert made and not any(r["crossing"] for r in made)
