@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import sys
-
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.scratch import new_folder, save  # noqa: F401
+from ..sources.scratch import drop, new_folder, save  # noqa: F401
 
 #: ASCII white space, \x20 and \x09-\x0D, as a regular expression and as characters.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
@@ -41,6 +39,9 @@ def fold(n: int, id_column: str = "doc_id") -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col(id_column).cast("string"), F.lit("")).cast("binary")), F.lit(n))
 
 
+_worker_cache: dict = {}
+
+
 def worker_cache() -> dict:
     """A dictionary that outlives a task within its Python worker."""
-    return sys.__dict__.setdefault("_sievestone_worker_cache", {})
+    return _worker_cache

@@ -2,7 +2,7 @@
 
 A word is a run of letters. Its script, from ranges of code points, leaves the languages that use this
 script as candidates. Each candidate scores the word by the mean log-probability of its hashed letter
-trigrams and the word itself; a Viterbi path over the words, with a penalty for each switch of language,
+trigrams and the word itself, times its letters up to eight; a Viterbi path over the words, with a penalty for each switch of language,
 labels spans. A text's language is the one with the most letters on its path.
 
 The counts behind the scores come from a bounded sample: the max_train documents of the training fold
@@ -10,7 +10,7 @@ with a language and the smallest hashed ids. Prediction reads whole texts.
 
 Results for odd input: a text that is null or has no letter is `und` with score 0; without training rows
 every text is `und`; ties go to the language first in order; null ids form a fold of their own; other
-columns are ignored.
+columns are ignored; more than MAX_LANGUAGES languages are an error.
 """
 
 from __future__ import annotations
@@ -38,6 +38,8 @@ SMOOTH = 0.5
 #: A language uses a script if this share of its training words does.
 SCRIPT_SHARE = 0.005
 UNKNOWN = "und"
+#: More languages in the sample than this are an error: each has a row of 65,536 scores on the driver and in each worker.
+MAX_LANGUAGES = 500
 
 
 def other_numbers() -> str:
@@ -207,6 +209,9 @@ def train(docs: DataFrame, max_train: int = MAX_TRAIN) -> LanguageModel:
             at = np.flatnonzero(counts)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at, pa.int64()), pa.array(counts[at], pa.int64())], names=["lang", "cell", "n"])
 
+    spoken = sample.select("lang").distinct().limit(MAX_LANGUAGES + 1).count()
+    if spoken > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages in the training sample")
     # BUCKETS + scripts rows for each language at most.
     got = sample.mapInArrow(run, "lang string, cell long, n long").groupBy("lang", "cell").agg(F.sum("n").alias("n")).toArrow()
     names, cells, ns = got.column("lang").to_pylist(), got.column("cell").to_numpy(), got.column("n").to_numpy()

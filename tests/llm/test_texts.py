@@ -320,6 +320,47 @@ def test_viterbi_equals_brute_force():
         assert path.tolist() == [best >> k & 1 for k in range(len(i))]
 
 
+def test_scores_candidates_and_votes_equal_plain_python(spark):
+    """Word scores from counts worked out by hand, scripts, the best path by trying all, and the vote by letters."""
+    rows = docs(spark, [(k, TEXTS[x], x) for k, x in enumerate(["en", "de", "ru"] * 12)])
+    model = langid.train(rows)
+    train_ids = [k for k in range(36) if zlib.crc32(str(k).encode()) % 3 != 1]
+    grams, scripts = {x: Counter() for x in TEXTS}, {x: Counter() for x in TEXTS}
+    buckets = langid.Buckets()
+    for k in train_ids:
+        x = ["en", "de", "ru"][k % 3]
+        for w in TEXTS[x].split():
+            grams[x].update(langid.features(w, buckets))
+            scripts[x][langid.script(w)] += 1
+    total = {x: sum(c.values()) + langid.SMOOTH * langid.BUCKETS for x, c in grams.items()}
+
+    def score(w, x):
+        if not scripts[x][langid.script(w)] >= langid.SCRIPT_SHARE * sum(scripts[x].values()) or not scripts[x][langid.script(w)]:
+            return -1e6
+        own = langid.features(w, buckets)
+        return min(len(w), 8) * sum(math.log((grams[x][g] + langid.SMOOTH) / total[x]) for g in own) / len(own)
+
+    names = sorted(TEXTS)
+    texts = ["the garden haus", "haus und the old", "дом the haus", "сад дом", "alten stadt this old town"]
+    made = {r["doc_id"]: r for r in langid.languages(docs(spark, [(k, t, None) for k, t in enumerate(texts)]), model).collect()}
+    for k, t in enumerate(texts):
+        words = t.split()
+        paths = [[m // 3**n % 3 for n in range(len(words))] for m in range(3 ** len(words))]
+        value = lambda p, words=words: sum(score(w, names[x]) for w, x in zip(words, p)) - langid.SWITCH * sum(a != b for a, b in zip(p, p[1:]))
+        best = max(paths, key=value)
+        letters = Counter()
+        for w, x in zip(words, best):
+            letters[names[x]] += len(w)
+        lang, n = max(letters.items(), key=lambda x: (x[1], -names.index(x[0])))
+        assert made[k]["lang_pred"] == lang and made[k]["score"] == pytest.approx(n / sum(letters.values()))
+
+
+def test_too_many_languages(spark, monkeypatch):
+    monkeypatch.setattr(langid, "MAX_LANGUAGES", 2)
+    with pytest.raises(ValueError, match="languages"):
+        langid.train(docs(spark, [(k, "a b", f"x{k}") for k in range(9)]))
+
+
 def test_languages_of_odd_rows(spark):
     made = langid.language_report(odd_docs(spark)).collect()
     assert len(made) == len(ODD) + 3 and all(0 <= r["score"] <= 1 for r in made)
