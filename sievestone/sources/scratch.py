@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import re
 import uuid
-from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,10 +19,6 @@ def shared_folder(spark: SparkSession) -> str:
     return (folder or FALLBACK_FOLDER).rstrip("/")
 
 
-#: Where save() has put what it returned.
-_folders: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
-
-
 def new_folder(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder, removed when the session's file systems close."""
     path = f"{shared_folder(spark)}/sievestone/{name}-{uuid.uuid4().hex}"
@@ -37,12 +32,12 @@ def save(df: DataFrame, name: str) -> DataFrame:
     path = new_folder(df.sparkSession, name)
     df.write.parquet(path)
     made = df.sparkSession.read.schema(df.schema).parquet(path)
-    _folders[made] = path
+    made._saved_in = path
     return made
 
 
 def drop(saved: DataFrame) -> None:
     """Remove a table that save() has made and that no plan will read again; the end of the session does it otherwise."""
-    spark, path = saved.sparkSession, _folders.pop(saved)
-    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    spark = saved.sparkSession
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(saved._saved_in)
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
