@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,9 +41,10 @@ def fold(n: int, id_column: str = "doc_id") -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col(id_column).cast("string"), F.lit("")).cast("binary")), F.lit(n))
 
 
-_worker_cache: dict = {}
-
-
 def worker_cache() -> dict:
-    """A dictionary that outlives a task within its Python worker."""
-    return _worker_cache
+    """A dictionary that outlives a task within its Python worker.
+
+    It hangs on sys: where a function of this package is sent to a worker as a copy with its globals, a
+    module's own dictionary would be a new one in each task.
+    """
+    return sys.__dict__.setdefault("_sievestone_worker_cache", {})
