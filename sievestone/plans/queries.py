@@ -296,6 +296,11 @@ def credentials_conversations(spark, d):
     return audit.credential_hits(rows, "at", "text").select("at.*")
 
 
+@query(f"SELECT page_id FROM pages WHERE regexp_matches(html, '{D_CREDENTIALS}')")
+def credentials_pages(spark, d):
+    return audit.credential_hits(table(spark, d, "pages"), "page_id", "html")
+
+
 @query("""SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN 'webcam' WHEN 1 THEN 'image' ELSE 'video' END AS kind FROM customer""")
 def source_kinds(spark, d):
     name = F.when(F.col("c_custkey") % 3 == 0, F.col("c_custkey").cast("string")).when(F.col("c_custkey") % 3 == 1, F.concat("c_name", F.lit(".PNG"))).otherwise(F.concat(F.lit("/v/"), "c_name", F.lit(".mp4")))
@@ -371,12 +376,12 @@ def truth_and_predictions(spark: SparkSession, d: str) -> tuple[DataFrame, DataF
     rows = boxes(spark, d)
     truth = rows.select("image", "idx", "cls", S.corners(*(F.col(c) for c in ("xc", "yc", "w", "h"))).alias("box"))
     moved = S.corners(F.col("xc") + (F.col("px") % 7 - 3) / 100.0, F.col("yc"), F.col("w"), F.col("h"))
-    predictions = rows.where("px % 11 <> 0").select("image", "idx", F.when(F.col("px") % 13 == 0, 1 - F.col("cls")).otherwise(F.col("cls")).alias("cls"), moved.alias("box"), (F.col("px") / 1000.0).alias("conf"))
+    predictions = rows.where("l_quantity > 4").select("image", "idx", F.when(F.col("px") % 13 == 0, 1 - F.col("cls")).otherwise(F.col("cls")).alias("cls"), moved.alias("box"), (F.col("px") / 1000.0).alias("conf"))
     return truth, predictions
 
 
 D_IOU = f"""b AS ({D_BOXES}), g AS (SELECT image, idx, cls, xc - w / 2 AS x1, yc - h / 2 AS y1, xc + w / 2 AS x2, yc + h / 2 AS y2 FROM b),
-p AS (SELECT image, idx, CASE WHEN px % 13 = 0 THEN 1 - cls ELSE cls END AS cls, xc + (px % 7 - 3) / 100.0 - w / 2 AS x1, yc - h / 2 AS y1, xc + (px % 7 - 3) / 100.0 + w / 2 AS x2, yc + h / 2 AS y2 FROM b WHERE px % 11 <> 0),
+p AS (SELECT image, idx, CASE WHEN px % 13 = 0 THEN 1 - cls ELSE cls END AS cls, xc + (px % 7 - 3) / 100.0 - w / 2 AS x1, yc - h / 2 AS y1, xc + (px % 7 - 3) / 100.0 + w / 2 AS x2, yc + h / 2 AS y2 FROM b WHERE l_quantity > 4),
 o AS (SELECT p.image, p.idx AS pred, g.idx AS gt, greatest(least(p.x2, g.x2) - greatest(p.x1, g.x1), 0) * greatest(least(p.y2, g.y2) - greatest(p.y1, g.y1), 0) AS i, (p.x2 - p.x1) * (p.y2 - p.y1) + (g.x2 - g.x1) * (g.y2 - g.y1) AS s FROM p JOIN g USING (image, cls))"""
 
 
@@ -455,9 +460,13 @@ def hamming_pairs(spark, d):
     return hamming.hamming_pairs(hashes(spark, d), NEAR)
 
 
-@query(f"WITH {D_PAIRS.format(t=8)} SELECT a, b, d FROM p")
+@query(f"""WITH o AS ({D_BITS}), b AS (SELECT id, h FROM o UNION ALL SELECT -1 - id, left(h, 64 - id % 12) || translate(right(h, id % 12), '01', '10') FROM o)
+SELECT x.id AS a, y.id AS b, cast(hamming(x.h, y.h) AS int) AS d FROM b x JOIN b y ON x.id < y.id WHERE hamming(x.h, y.h) <= 8""")
 def hamming_pairs_close(spark, d):
-    return hamming.hamming_pairs(hashes(spark, d), 8)
+    """Each hash beside a copy of it in which the last 0 to 11 bits are turned."""
+    rows = hashes(spark, d).select("id", "h")
+    turned = rows.select((-1 - F.col("id")).alias("id"), F.col("h").bitwiseXOR(F.expr("shiftleft(1L, cast(id % 12 AS int)) - 1")).alias("h"))
+    return hamming.hamming_pairs(rows.unionByName(turned), 8)
 
 
 @query(f"WITH {D_PAIRS.format(t=NEAR)} SELECT d, count(*) AS pairs FROM p GROUP BY d")
