@@ -36,8 +36,12 @@ def save(df: DataFrame, name: str) -> DataFrame:
     return made
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, if it is there."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def drop(saved: DataFrame) -> None:
     """Remove a table that save() has made and that no plan will read again; the end of the session does it otherwise."""
-    spark = saved.sparkSession
-    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(saved._saved_in)
-    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+    remove(saved.sparkSession, saved._saved_in)
