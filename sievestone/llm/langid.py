@@ -231,8 +231,13 @@ def vote(path: np.ndarray, letters: np.ndarray, languages: list[str]) -> tuple[s
     return languages[int(share.argmax())], float(share.max())
 
 
+def stretches(path: np.ndarray) -> int:
+    """How many spans of one language a path has."""
+    return int(np.count_nonzero(path[1:] != path[:-1])) + (len(path) > 0)
+
+
 def languages(docs: DataFrame, model: LanguageModel | None = None) -> DataFrame:
-    """doc_id, lang_pred, score for each row of docs."""
+    """doc_id, lang_pred, score, n_spans (as spans() gives) for each row of docs."""
     shared = docs.sparkSession.sparkContext.broadcast((model or train(docs)).parts())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -240,12 +245,13 @@ def languages(docs: DataFrame, model: LanguageModel | None = None) -> DataFrame:
         for b in batches:
             m.forget()
             ids = [m.numbers(LETTERS.findall(t.lower()) if m.languages else []) for t in b.column("text").to_pylist()]
-            votes = [vote(p, m.letters[i], m.languages) for p, i in zip(m.paths(ids), ids)]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([v[0] for v in votes], pa.string()), pa.array([v[1] for v in votes], pa.float64())], names=["doc_id", "lang_pred", "score"])
+            votes = [(*vote(p, m.letters[i], m.languages), stretches(p)) for p, i in zip(m.paths(ids), ids)]
+            made = [pa.array([v[k] for v in votes], t) for k, t in enumerate((pa.string(), pa.float64(), pa.int64()))]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *made], names=["doc_id", "lang_pred", "score", "n_spans"])
 
     common.python_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), common.whole_text().alias("text"))
-    return rows.mapInArrow(run, "doc_id long, lang_pred string, score double")
+    return rows.mapInArrow(run, "doc_id long, lang_pred string, score double, n_spans long")
 
 
 def spans(docs: DataFrame, model: LanguageModel | None = None) -> DataFrame:
@@ -274,5 +280,5 @@ def spans(docs: DataFrame, model: LanguageModel | None = None) -> DataFrame:
 
 
 def language_report(docs: DataFrame) -> DataFrame:
-    """doc_id, held_out, lang_pred, score for each row of docs."""
-    return languages(docs).select("doc_id", (common.fold(FOLDS) == HELD_OUT).alias("held_out"), "lang_pred", "score")
+    """doc_id, held_out, lang_pred, score, n_spans for each row of docs."""
+    return languages(docs).select("doc_id", (common.fold(FOLDS) == HELD_OUT).alias("held_out"), "lang_pred", "score", "n_spans")

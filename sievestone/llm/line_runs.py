@@ -69,13 +69,23 @@ class LineRuns:
         self.spark, self.min_docs, self.fanout = spark, min_docs, fanout
         self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.levels: list[list[DataFrame]] = []
+        self.written: list[tuple[str, str]] = []
 
     def write(self, rows: DataFrame) -> DataFrame:
         """rows, which are dealt by (h1, h2), as a bucketed and sorted table."""
         name = f"line_run_{uuid4().hex}"
-        rows.write.bucketBy(self.buckets, "h1", "h2").sortBy("h1", "h2").option("path", common.new_folder(self.spark, "line-run")).saveAsTable(name)
+        path = common.new_folder(self.spark, "line-run")
+        self.written.append((name, path))
+        rows.write.bucketBy(self.buckets, "h1", "h2").sortBy("h1", "h2").option("path", path).saveAsTable(name)
         return self.spark.table(name)
 
+    def drop(self) -> None:
+        """Remove all tables of these runs; nothing that reads them works afterwards."""
+        for name, path in self.written:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+            common.remove(self.spark, path)
+        self.levels, self.written = [], []
+
     def runs(self) -> list[DataFrame]:
         return [r for level in self.levels for r in level]
 
@@ -131,7 +141,9 @@ def frequent_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int =
     counted = runs.write(counted.repartition(runs.buckets, "h1", "h2"))
     for b in range(batches):
         runs.add(counted.where(F.col(f"docs_{b}") > 0).select("h1", "h2", F.col(f"docs_{b}").alias("docs")), dealt=True)
-    return common.save(runs.frequent(), "line-frequent")
+    found = common.save(runs.frequent(), "line-frequent")
+    runs.drop()
+    return found
 
 
 def drop_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:

@@ -219,6 +219,12 @@ def test_lines_that_stay(spark):
     assert all(r["n_chars"] is None or r["n_chars"] == len(r["text"]) for r in made.collect())
 
 
+def test_runs_leave_no_tables(spark):
+    rows = docs(spark, [(k, "one\ntwo") for k in range(12)])
+    assert line_runs.frequent_lines(rows).count() == 2
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("line_run_")]
+
+
 def test_runs_by_level(spark):
     runs = line_runs.LineRuns(spark, min_docs=3, fanout=2)
     for _ in range(5):

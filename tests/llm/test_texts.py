@@ -308,6 +308,7 @@ def test_spans_of_a_mixed_text(spark):
     text = f"{TEXTS['en']}. 12 {TEXTS['de']}! {TEXTS['ru']}"
     made = langid.spans(docs(spark, [(1, text, None), (2, None, None)]), model).orderBy("start").collect()
     assert [(r["lang"], text[r["start"] : r["end"]]) for r in made] == [("en", TEXTS["en"]), ("de", TEXTS["de"]), ("ru", TEXTS["ru"])]
+    assert {r["doc_id"]: r["n_spans"] for r in langid.languages(docs(spark, [(1, text, None), (2, None, None)]), model).collect()} == {1: 3, 2: 0}
 
 
 def test_viterbi_equals_brute_force():
@@ -353,6 +354,7 @@ def test_scores_candidates_and_votes_equal_plain_python(spark):
             letters[names[x]] += len(w)
         lang, n = max(letters.items(), key=lambda x: (x[1], -names.index(x[0])))
         assert made[k]["lang_pred"] == lang and made[k]["score"] == pytest.approx(n / sum(letters.values()))
+        assert made[k]["n_spans"] == 1 + sum(a != b for a, b in zip(best, best[1:]))
 
 
 def test_too_many_languages(spark, monkeypatch):
