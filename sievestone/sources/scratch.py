@@ -45,3 +45,18 @@ def remove(spark: SparkSession, path: str) -> None:
 def drop(saved: DataFrame) -> None:
     """Remove a table that save() has made and that no plan will read again; the end of the session does it otherwise."""
     remove(saved.sparkSession, saved._saved_in)
+
+
+class Tables:
+    """Tables of the shared folder that go together, as soon as nothing reads any of them."""
+
+    def __init__(self) -> None:
+        self.saved: list[DataFrame] = []
+
+    def save(self, df: DataFrame, name: str) -> DataFrame:
+        self.saved.append(save(df, name))
+        return self.saved[-1]
+
+    def drop(self) -> None:
+        while self.saved:
+            drop(self.saved.pop())
