@@ -7,7 +7,7 @@ import sys
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.scratch import drop, new_folder, remove, save  # noqa: F401
+from ..sources.scratch import Tables, drop, new_folder, remove, save  # noqa: F401
 
 #: ASCII white space, \x20 and \x09-\x0D, as a regular expression and as characters.
 SPACE_CLASS = r"[\x20\x09-\x0D]"

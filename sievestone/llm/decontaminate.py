@@ -103,13 +103,13 @@ def least_held(n: Column, similarity: float) -> Column:
     return F.ceil(n * F.lit(similarity) - 1e-9).cast("int")
 
 
-def item_tables(benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
+def item_tables(benchmark: DataFrame, tables: common.Tables) -> tuple[DataFrame, DataFrame]:
     """item, n, shingles (hashes), words, fp of the distinct items that have a shingle; item, item_id of all of them."""
     rows = with_shingles(benchmark.select("item_id", common.whole_text().alias("_text")), F.col("_text")).where(F.size("_shingles") > 0)
-    rows = common.save(rows.select("item_id", F.col("_shingles").alias("shingles"), F.col("_words").alias("words"), F.sha2(F.array_join("_words", " "), 256).alias("digest")), "decontaminate-items")
+    rows = tables.save(rows.select("item_id", F.col("_shingles").alias("shingles"), F.col("_words").alias("words"), F.sha2(F.array_join("_words", " "), 256).alias("digest")), "decontaminate-items")
     one = rows.groupBy("digest").agg(F.first(F.struct("shingles", "words")).alias("c")).select("digest", "c.*")
     one = simhash(one.withColumn("n", F.size("shingles")), "shingles", "fp").withColumn("item", F.monotonically_increasing_id())
-    items = common.save(one.select("digest", "item", "n", "shingles", "words", "fp"), "decontaminate-items")
+    items = tables.save(one.select("digest", "item", "n", "shingles", "words", "fp"), "decontaminate-items")
     return items.drop("digest"), items.select("digest", "item").join(rows.select("digest", "item_id"), "digest").select("item", "item_id")
 
 
@@ -121,9 +121,9 @@ def anchors(items: DataFrame, similarity: float) -> DataFrame:
     return ranked.where(F.col("rank") <= F.col("n") - least_held(F.col("n"), similarity) + 1).select("h", "item", "n").distinct()
 
 
-def anchor_hits(docs: DataFrame, items: DataFrame, similarity: float) -> DataFrame:
+def anchor_hits(docs: DataFrame, items: DataFrame, similarity: float, tables: common.Tables) -> DataFrame:
     """For each anchor in a document and each item that owns it, the words of all windows of the item's size that contain it."""
-    found = common.save(anchors(items, similarity), "decontaminate-anchors")
+    found = tables.save(anchors(items, similarity), "decontaminate-anchors")
     blocks = -(-found.count() // BLOCK_ANCHORS)
     rows = with_shingles(docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), common.whole_text().alias("_text")), F.col("_text"))
     all_hits = None
@@ -136,7 +136,7 @@ def anchor_hits(docs: DataFrame, items: DataFrame, similarity: float) -> DataFra
             "row", "doc_id", F.sha2("_text", 256).alias("text_sha256"), "item", "n", "at", first.alias("first"), "size", F.slice("_words", first + 1, last - first + SHINGLE).alias("words")
         )
         all_hits = hits if all_hits is None else all_hits.unionByName(hits)
-    return common.save(all_hits, "decontaminate-hits")
+    return tables.save(all_hits, "decontaminate-hits")
 
 
 def contents(hits: DataFrame) -> DataFrame:
@@ -172,9 +172,9 @@ def text_shingles(word_array: Column) -> Column:
     return F.transform(F.sequence(F.lit(0), F.size(word_array) - SHINGLE), lambda i: F.concat_ws(" ", F.slice(word_array, i + 1, SHINGLE)))
 
 
-def near_items(placed: DataFrame, items: DataFrame) -> DataFrame:
+def near_items(placed: DataFrame, items: DataFrame, tables: common.Tables) -> DataFrame:
     """The windows (text_sha256, item, n, at, start, fp) within RADIUS bits of an item that owns their anchor."""
-    index = common.save(items.select("item", F.col("fp").alias("item_fp"), F.inline(block_values(F.col("fp")))), "decontaminate-index")
+    index = tables.save(items.select("item", F.col("fp").alias("item_fp"), F.inline(block_values(F.col("fp")))), "decontaminate-index")
     few = index.count() <= BROADCAST_INDEX
     probes = placed.select("text_sha256", "item", "n", "at", "start", "fp", F.inline(block_values(F.col("fp"))))
     near = probes.join(F.broadcast(index) if few else index, ["item", "block", "value"])
@@ -182,10 +182,10 @@ def near_items(placed: DataFrame, items: DataFrame) -> DataFrame:
     return near.where(within & (F.col("block") == first_equal(F.col("fp"), F.col("item_fp")))).select("text_sha256", "item", "n", "at", "start")
 
 
-def text_matches(hits: DataFrame, items: DataFrame, similarity: float) -> DataFrame:
+def text_matches(hits: DataFrame, items: DataFrame, similarity: float, tables: common.Tables) -> DataFrame:
     """text_sha256, item, start_word, similarity: the best window of each distinct text and item."""
-    content = common.save(contents(hits), "decontaminate-contents")
-    pairs = near_items(windows(content, similarity), items)
+    content = tables.save(contents(hits), "decontaminate-contents")
+    pairs = near_items(windows(content, similarity), items, tables)
     made, hashed = shingle_hashes("words")
     region = content.withColumn("_hashed", hashed).withColumn("_shingles", made).select("text_sha256", "item", "at", "first", "size", "words", "_shingles")
     both = pairs.join(region, ["text_sha256", "item", "at"]).join(items.select("item", F.col("shingles").alias("_item")), "item")
@@ -196,7 +196,7 @@ def text_matches(hits: DataFrame, items: DataFrame, similarity: float) -> DataFr
     repeats = F.least(F.size("_window") - F.size(F.array_distinct("_window")), F.size("_item") - F.size(F.array_distinct("_item")))
     most = F.size(F.array_intersect("_window", "_item")) + repeats
     both = both.where(most >= similarity * (F.size("_window") + F.size("_item") - most) - 1e-9)
-    chosen = common.save(both.select("text_sha256", "item", "n", "start", F.slice("words", skip, length + SHINGLE - 1).alias("w")), "decontaminate-chosen")
+    chosen = tables.save(both.select("text_sha256", "item", "n", "start", F.slice("words", skip, length + SHINGLE - 1).alias("w")), "decontaminate-chosen")
     # Weighted similarity of the shingles themselves.
     shingled = chosen.withColumn("w", text_shingles(F.col("w")))
     counted = shingled.select("text_sha256", "item", "n", "start", F.size("w").alias("size"), F.explode_outer("w").alias("s")).groupBy("text_sha256", "item", "n", "start", "size", "s").agg(F.count("*").alias("a"))
@@ -210,11 +210,14 @@ def text_matches(hits: DataFrame, items: DataFrame, similarity: float) -> DataFr
 
 def matches(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """doc_id, item_id, start_word, similarity: the best window of each document and item of that similarity or more."""
-    items, members = item_tables(benchmark)
-    hits = anchor_hits(docs, items, similarity)
+    tables = common.Tables()
+    items, members = item_tables(benchmark, tables)
+    hits = anchor_hits(docs, items, similarity, tables)
     holders = hits.select("row", "doc_id", "text_sha256", "item").distinct()
-    found = holders.join(text_matches(hits, items, similarity), ["text_sha256", "item"])
-    return found.join(members, "item").select("doc_id", "item_id", "start_word", "similarity")
+    found = holders.join(text_matches(hits, items, similarity, tables), ["text_sha256", "item"])
+    found = common.save(found.join(members, "item").select("doc_id", "item_id", "start_word", "similarity"), "decontaminate-found")
+    tables.drop()
+    return found
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -224,7 +227,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def without_benchmark(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The rows of docs that hold no item, with their columns. What a document holds depends on its text alone."""
-    items, _ = item_tables(benchmark)
-    held = text_matches(anchor_hits(docs, items, similarity), items, similarity).select("text_sha256").distinct()
+    tables = common.Tables()
+    items, _ = item_tables(benchmark, tables)
+    held = text_matches(anchor_hits(docs, items, similarity, tables), items, similarity, tables).select("text_sha256").distinct()
+    held = common.save(held, "decontaminate-held")
+    tables.drop()
     packed = docs.select(F.struct("*").alias("row"), F.sha2(common.whole_text(), 256).alias("text_sha256"))
-    return digest_filter.without(packed, common.save(held, "decontaminate-held"), ["text_sha256"]).select("row.*")
+    return digest_filter.without(packed, held, ["text_sha256"]).select("row.*")
