@@ -184,7 +184,7 @@ def encode_texts(docs: DataFrame, path: str | None = None) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(at, len(texts)), ids, pa.array([e.decode(x) for x in blobs], pa.string())], names=["doc_id", "ids", "decoded"])
                 at += len(texts)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), common.whole_text().alias("text")).mapInArrow(run, "doc_id long, ids array<int>, decoded string")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), common.whole_text().alias("text")).mapInArrow(common.tidy(run), "doc_id long, ids array<int>, decoded string")
 
 
 def encoding_digests(docs: DataFrame, path: str | None = None) -> DataFrame:
@@ -207,4 +207,4 @@ def encoding_digests(docs: DataFrame, path: str | None = None) -> DataFrame:
                 at += len(texts)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), common.whole_text().alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return rows.mapInArrow(common.tidy(run), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

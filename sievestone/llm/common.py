@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
@@ -48,3 +49,27 @@ def worker_cache() -> dict:
     module's own dictionary would be a new one in each task.
     """
     return sys.__dict__.setdefault("_sievestone_worker_cache", {})
+
+
+def release_memory() -> None:
+    """Give freed memory of this Python worker back to the machine; an idle worker keeps it otherwise."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim:
+        trim(0)
+
+
+def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """run over the batches of a task, whose memory goes back when it ends."""
+
+    def tidied(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        release_memory()
+
+    return tidied

@@ -137,7 +137,7 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Fac
 
     common.python_batches(docs.sparkSession)
     sample = training_sample(docs, labels, max_train).withColumn("toxic", F.col("toxic").cast("int"))
-    rows = common.save(sample.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "toxic").mapInArrow(run, "doc_id long, buckets array<int>, toxic int"), "toxicity-sample")
+    rows = common.save(sample.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "toxic").mapInArrow(common.tidy(run), "doc_id long, buckets array<int>, toxic int"), "toxicity-sample")
     sizes = rows.groupBy("doc_id").agg(F.sum(F.size("buckets")).alias("n")).orderBy(F.xxhash64("doc_id"), "doc_id").toArrow()  # max_train rows at most
     within = int(np.searchsorted(np.cumsum(sizes.column("n").to_numpy()), MAX_TERMS, side="right"))
     if within < sizes.num_rows:
@@ -165,7 +165,7 @@ def scores(docs: DataFrame, model: FactorizationMachine, *keep: str) -> DataFram
 
     rows = docs.select(*keep, common.whole_text().alias("_text"))
     kinds = "".join(f"`{c}` {k}, " for c, k in docs.select(*keep).dtypes)
-    return rows.mapInArrow(run, f"{kinds}_score double")
+    return rows.mapInArrow(common.tidy(run), f"{kinds}_score double")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
