@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sievestone.llm import bpe_trie, common, decontaminate, fm_toxicity, line_runs, near_copies
+from sievestone.llm import bpe_trie, common, decontaminate, fm_toxicity, line_runs, simhash
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,8 +22,9 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (five-word shingles, similarity 0.8 or more) the document with the smallest id stays."""
-    return near_copies.keep_one(docs)
+    """Of each group of near copies the document with the smallest id stays: five-word SimHash by the generalised pigeonhole,
+    buckets for what lies beyond its radius, and a similarity of 0.8 or more of the shingles themselves."""
+    return simhash.keep_one(docs)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

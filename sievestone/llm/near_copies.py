@@ -1,13 +1,20 @@
 """Near copies: texts whose five-word shingles have a weighted Jaccard similarity of 0.8 or more.
 
 Words are lower-cased runs without ASCII white space; the k-th repeat of a shingle counts as an element
-of its own, so that the weighted similarity is that of sets. Texts of equal words are one node. Minimum
-hashes in BANDS bands of ROWS find candidates: a pair at just 0.8 shares no band with probability
-(1 - 0.8^5)^30, seven in a million, and less above. The shingles' hashes themselves then decide.
-(A SimHash radius wide enough for 0.8, 21 of 64 bits, makes some 19,000 probes of each fingerprint by the
-pigeonhole, and each part's ball is a tenth of its values, so that candidates grow with the square.)
+of its own, so that the weighted similarity is that of sets. Texts of equal words are one node.
 
-In a bucket of up to SMALL texts all pairs are candidates. In a larger one each text meets the bucket's
+Near copies are found by SimHash and the generalised pigeonhole, with the steps of simhash.py: a fingerprint
+of the elements, parts of correlated bits, thresholds of each fingerprint by a dynamic programme over
+candidate counts, probes, and the distance of the whole fingerprints. The elements of a pair within the
+radius then decide. The radius is the widest that costs at most PROBE_COST probes and candidates a text, so
+it shrinks as tables grow: 9 bits for 10,000 texts, 6 for 200,000, 3 for 13 million.
+
+No radius that a large table can afford reaches all pairs of similarity 0.8: at just 0.8 a bit differs with
+probability 0.15, which takes 21 bits, and then 5 to 29 % of all pairs share a part. So what SimHash has not
+linked meets in buckets by minimum hashes, in BANDS bands of ROWS: a pair at just 0.8 shares none with
+probability (1 - 0.8^5)^30, seven in a million, and less above. The elements decide here too.
+
+In a bucket of up to SMALL texts all pairs not linked yet are candidates. In a larger one each text meets the bucket's
 hub and its neighbours by length first, which links most of a crowd. What is left of a bucket in different
 components is compared by sketches: two texts have at least as many elements apart as the bits in which the
 parities of their elements by SKETCH cells differ, so a pair with too many such bits cannot be similar. All
@@ -30,11 +37,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.graph import connected_components
-from . import common
+from . import common, simhash
+from .simhash import majority
 
 SHINGLE, SEED = 5, 42
 #: Similarity 4/5, compared in whole numbers.
 SIMILAR, OF = 4, 5
+#: Probes and candidates of a text by SimHash, and the radius that loses one in ten thousand of the pairs at just 0.8.
+PROBE_COST, MAX_RADIUS = 256, 21
+#: A fingerprint is in a crowd if it costs so many times as much as an evenly spread one.
+CROWDED = 1.5
 BANDS, ROWS = 30, 5
 SMALL = 16
 AT_ONCE = 1 << 12
@@ -94,14 +106,15 @@ def add_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     import xxhash
 
     for b in batches:
-        digests, sizes, keys = [], [], []
+        digests, sizes, prints, keys = [], [], [], []
         for words in texts_of(b):
             x = elements(words)
             digests.append(xxhash.xxh3_128_digest(b" ".join(words), SEED))
             sizes.append(len(x))
+            prints.append(majority(x))
             keys.append(band_keys(x).view(np.int64) if len(x) else np.zeros(0, np.int64))
-        columns = [b.column("row"), b.column("doc_id"), pa.array(digests, pa.binary()), pa.array(sizes, pa.int32()), pa.array(keys, pa.list_(pa.int64()))]
-        yield pa.RecordBatch.from_arrays(columns, names=["row", "doc_id", "digest", "n", "keys"])
+        columns = [b.column("row"), b.column("doc_id"), pa.array(digests, pa.binary()), pa.array(sizes, pa.int32()), pa.array(prints, pa.int64()), pa.array(keys, pa.list_(pa.int64()))]
+        yield pa.RecordBatch.from_arrays(columns, names=["row", "doc_id", "digest", "n", "fp", "keys"])
 
 
 def add_elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,11 +175,13 @@ def gathered(made: Iterator[tuple[int, np.ndarray, np.ndarray]]) -> Iterator[pa.
 
 
 def first_pairs(batches: Iterator[pa.RecordBatch], small: int) -> Iterator[pa.RecordBatch]:
-    """kind 0: candidate pairs; 1: members of larger buckets (key, node)."""
+    """kind 0: candidate pairs of different labels; 1: members of larger buckets (key, node)."""
 
     def made() -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        for key, n, node in by_key(batches):
+        for key, n, node, label in by_key(batches):
             m = len(node)
+            if (label == label[0]).all():
+                continue
             if m <= small:
                 i, j = np.triu_indices(m, 1)
             else:
@@ -174,7 +189,7 @@ def first_pairs(batches: Iterator[pa.RecordBatch], small: int) -> Iterator[pa.Re
                 at = np.arange(m)
                 i, j = np.concatenate((np.full(m - 1, hub), at[:-1])), np.concatenate((at[at != hub], at[1:]))
                 yield 1, key, node
-            like = like_sizes(n, i, j)
+            like = like_sizes(n, i, j) & (label[i] != label[j])
             a, b = node[i[like]], node[j[like]]
             yield 0, np.minimum(a, b), np.maximum(a, b)
 
@@ -238,9 +253,33 @@ def in_buckets(members: DataFrame, pairs: Callable) -> DataFrame:
     return dealt.mapInArrow(common.tidy(pairs), "kind int, a long, b long")
 
 
+def close_links(nodes: DataFrame, rows: DataFrame, tables: common.Tables) -> DataFrame:
+    """Edges (a, b) between similar nodes (node, n, fp) whose fingerprints are equal or within the radius; of equal ones the least node stands for all."""
+    sized = nodes.where("n > 0")
+    prints = tables.save(sized.groupBy("fp").agg(F.min(F.struct("node", "n")).alias("first")), "near-prints")
+    radius, cost = simhash.widest(prints.count(), PROBE_COST, MAX_RADIUS)
+    edges = simhash.links(prints.select("fp"), radius, CROWDED * cost, tables)
+    a, b = (prints.select(F.col("fp").alias(side), F.col("first").alias(f"_{side}")) for side in "ab")
+    apart = edges.join(a, "a").join(b, "b").select("_a", "_b")
+    same = sized.join(prints, "fp").select(F.col("first").alias("_a"), F.struct("node", "n").alias("_b"))
+    like = SIMILAR * F.greatest("_a.n", "_b.n") <= OF * F.least("_a.n", "_b.n")
+    ends = apart.unionByName(same).where(like & (F.col("_a.node") != F.col("_b.node"))).select(F.least("_a.node", "_b.node").alias("a"), F.greatest("_a.node", "_b.node").alias("b"))
+    pairs = tables.save(ends.distinct(), "near-close")
+    return verified(pairs, contents(pairs.select(F.explode(F.array("a", "b")).alias("_node")), rows, tables), tables)
+
+
 def links(nodes: DataFrame, rows: DataFrame, tables: common.Tables) -> DataFrame:
-    """Edges (a, b) between nodes (node, n, keys) that connect all similar ones; rows (row, text) has their texts."""
-    members, small = nodes.select(F.explode("keys").alias("key"), "n", "node"), SMALL
+    """Edges (a, b) between nodes (node, n, fp, keys) that connect all similar ones; rows (row, text) has their texts."""
+    close = close_links(nodes, rows, tables)
+    return close.unionByName(other_links(nodes, close, rows, tables))
+
+
+def other_links(nodes: DataFrame, close: DataFrame, rows: DataFrame, tables: common.Tables) -> DataFrame:
+    """Edges (a, b) that connect all similar nodes (node, n, keys) together with those that are close."""
+    small = SMALL
+    groups = tables.save(connected_components(close).select(F.col("node").alias("_labelled"), "label"), "near-groups")
+    known = nodes.select("node", "n", "keys").join(groups, F.col("node") == F.col("_labelled"), "left")
+    members = known.select(F.explode("keys").alias("key"), "n", "node", F.coalesce("label", "node").alias("label"))
     found = tables.save(in_buckets(members, lambda batches: first_pairs(batches, small)), "near-buckets")
     pairs = tables.save(found.where("kind = 0").select("a", "b").distinct(), "near-pairs")
     crowds = found.where("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("node"))
@@ -248,7 +287,7 @@ def links(nodes: DataFrame, rows: DataFrame, tables: common.Tables) -> DataFrame
     near = verified(pairs, content, tables)
     if not crowds.limit(1).count():
         return near
-    labels = connected_components(near).select(F.col("node").alias("_labelled"), "label")
+    labels = connected_components(close.unionByName(near)).select(F.col("node").alias("_labelled"), "label")
     sketches = crowds.select("node").distinct().join(content, "node").select("node", "x").mapInArrow(common.tidy(add_sketches), "node long, sketch binary")
     sized = nodes.select("node", "n").join(sketches, "node").join(labels, F.col("node") == F.col("_labelled"), "left")
     sized = tables.save(sized.select("node", "n", F.coalesce("label", "node").alias("label"), "sketch"), "near-sketches")
@@ -262,10 +301,10 @@ def keep_one(docs: DataFrame) -> DataFrame:
     common.python_batches(docs.sparkSession)
     rows = common.save(docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("row")), "near-docs")
     texts = rows.select("row", "doc.doc_id", "doc.text")
-    prints = texts.mapInArrow(common.tidy(add_keys), f"row long, doc_id {dict(docs.dtypes)['doc_id']}, digest binary, n int, keys array<long>")
+    prints = texts.mapInArrow(common.tidy(add_keys), f"row long, doc_id {dict(docs.dtypes)['doc_id']}, digest binary, n int, fp long, keys array<long>")
     rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")
-    least = prints.groupBy("digest").agg(F.min(rank).alias("rank"), F.first("n").alias("n"), F.first("keys").alias("keys"))
-    nodes = common.save(least.select(F.col("rank.row").alias("node"), "rank", "n", "keys"), "near-nodes")
+    least = prints.groupBy("digest").agg(F.min(rank).alias("rank"), F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("keys").alias("keys"))
+    nodes = common.save(least.select(F.col("rank.row").alias("node"), "rank", "n", "fp", "keys"), "near-nodes")
     tables = common.Tables()
     components = connected_components(links(nodes, texts, tables))
     tables.drop()

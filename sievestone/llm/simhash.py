@@ -14,6 +14,10 @@ at most. Links between a crowded and another fingerprint come from the probe of
 linear in the fingerprints, whatever their distribution, and no link is lost. Rows with equal
 fingerprints are one node.
 
+The stage of near copies (near_copies.py) uses fingerprints of five-word shingles and a wider radius: the
+widest whose probes and candidates have a given cost among evenly spread fingerprints. There crowded
+fingerprints are linked to each other within two bits only; the stage finds the rest of a crowd itself.
+
 Results for odd input: null and empty texts have fingerprint zero; texts of one or two words have one
 shingle; rows with a null doc_id get a fingerprint and never give a component its id unless all its
 ids are null; repeated rows each give a row; an empty table gives an empty result.
@@ -32,7 +36,6 @@ from pyspark.sql import functions as F
 
 from ..operators.graph import connected_components
 from . import common
-from .near_copies import keep_one  # noqa: F401
 
 BITS, RADIUS, SHINGLE, SEED = 64, 2, 3, 42
 #: Cells of a part's histogram. Parts of up to 16 bits are counted exactly; wider ones share cells, which only raises an estimate.
@@ -40,6 +43,8 @@ CELLS = 1 << 16
 #: Probes and expected candidates from which on a fingerprint counts as crowded: three times the 65 rows of the other way.
 CROWD_COST = 3 * (BITS + 1)
 SHINGLES_AT_ONCE = 1 << 16
+#: Most bits within which a part is probed, and the numbers of parts to choose from for a radius wider than RADIUS.
+MAX_EACH, PARTS = 2, range(2, 9)
 
 
 def fingerprint(text: bytes) -> int:
@@ -63,6 +68,15 @@ def fingerprint(text: bytes) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view(np.int64)[0])
 
 
+def majority(hashes: np.ndarray) -> int:
+    """The fingerprint of hashes (unsigned) that are at hand, as a signed 64-bit integer."""
+    ones = np.zeros(BITS, np.int64)
+    for start in range(0, len(hashes), SHINGLES_AT_ONCE):
+        h = np.ascontiguousarray(hashes[start : start + SHINGLES_AT_ONCE])
+        ones += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int32)
+    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view(np.int64)[0])
+
+
 def add_fingerprint(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         at = b.schema.get_field_index("text")
@@ -129,7 +143,8 @@ def allocate(values: list[np.ndarray], widths: list[int], histogram: np.ndarray,
     picks = []
     for v, w, h in zip(values, widths, histogram):
         cost, met, start = np.zeros((most + 1, n)), np.zeros(n), 0
-        for s in range(1, most + 1):
+        cost[MAX_EACH + 2 :] = np.inf
+        for s in range(1, min(most, MAX_EACH + 1) + 1):
             masks = ball(w, s - 1)
             for m in masks[start:]:
                 met = met + h[cells(v ^ m)]
@@ -146,13 +161,45 @@ def allocate(values: list[np.ndarray], widths: list[int], histogram: np.ndarray,
     return thresholds, best[most]
 
 
-def links(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """Edges (a, b) between the distinct fingerprints of nodes (fp) that connect all pairs within radius."""
-    if radius != RADIUS:
-        raise ValueError("crowded fingerprints meet at single-bit neighbours, which is exact for two bits")
+def even_cost(total: int, parts: int, radius: int) -> float:
+    """Probes and expected candidates of a fingerprint among so many evenly spread ones."""
+    widths = [BITS * (k + 1) // parts - BITS * k // parts for k in range(parts)]
+    histogram = np.stack([np.full(CELLS, total / (1 << w)) for w in widths])
+    return float(allocate([np.zeros(1, np.uint64)] * parts, widths, histogram, radius)[1][0])
+
+
+def widest(total: int, cost: float, most: int) -> tuple[int, float]:
+    """The widest radius up to most, RADIUS at least, that costs so much at most among total evenly spread fingerprints; and what it costs."""
+    for radius in range(most, RADIUS, -1):
+        needed = min(even_cost(total, parts, radius) for parts in PARTS)
+        if needed <= cost:
+            break
+    else:
+        radius, needed = RADIUS, min(even_cost(total, parts, RADIUS) for parts in PARTS)
+    return radius, needed
+
+
+def single_values(histogram: np.ndarray, widths: list[int], total: int) -> np.ndarray:
+    """How many fingerprints have one value of a part: where values share a cell, its even share and what the cell has beyond chance."""
+    shared = total / CELLS
+    beyond = np.maximum(histogram - shared - 4 * math.sqrt(shared), 0)
+    return np.stack([h if 1 << w <= CELLS else total / (1 << w) + more for h, w, more in zip(histogram, widths, beyond)])
+
+
+def links(nodes: DataFrame, radius: int = RADIUS, crowd_cost: float | None = None, tables: common.Tables | None = None) -> DataFrame:
+    """Edges (a, b) between the distinct fingerprints of nodes (fp) that connect all pairs within radius.
+
+    If the radius is wider than RADIUS, crowded fingerprints, those that cost more than crowd_cost, are connected
+    to each other within RADIUS only.
+    """
+    if radius < RADIUS:
+        raise ValueError("crowded fingerprints meet at single-bit neighbours, which links two bits")
+    limit = CROWD_COST if crowd_cost is None else crowd_cost
     spark, total = nodes.sparkSession, nodes.count()
     # About as many values in a part as there are fingerprints, or more: two parts for very many.
     parts = max(2, min(4, BITS // max(1, math.ceil(math.log2(max(total, 2))))))
+    if radius > RADIUS:
+        parts = min(PARTS, key=lambda n: even_cost(total, n, radius))
     pairs = nodes.mapInArrow(bit_counts, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect()
     both = np.zeros(BITS * BITS)
     for row in pairs:  # 4096 rows
@@ -171,7 +218,8 @@ def links(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
     histogram = np.zeros(parts * CELLS)
     found = nodes.mapInArrow(counts, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()  # parts * CELLS rows at most
     histogram[found.column("cell").to_numpy()] = found.column("n").to_numpy()
-    shared = spark.sparkContext.broadcast(histogram.reshape(parts, CELLS))
+    histogram = histogram.reshape(parts, CELLS)
+    shared = spark.sparkContext.broadcast(single_values(histogram, widths, total) if radius > RADIUS else histogram)
 
     def probes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """kind 0: index entries, 1: probes, both with a key of part and value; 2: points next to crowded fingerprints."""
@@ -180,9 +228,9 @@ def links(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
                 values = part_values(fp, groups)
                 thresholds, cost = allocate(values, widths, shared.value, radius)
                 out = [(0, (v | np.uint64(k << 56)).view(np.int64), fp) for k, v in enumerate(values)]
-                crowded = cost > CROWD_COST
+                crowded = cost > limit
                 for k, v in enumerate(values):
-                    for t in range(radius + 1):
+                    for t in range(min(radius, MAX_EACH) + 1):
                         who = ~crowded & (thresholds[:, k] == t)
                         if who.any():
                             masks = ball(widths[k], t)
@@ -194,7 +242,7 @@ def links(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
                 for kind, keys, owners in out:
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), kind, np.int32)), pa.array(keys), pa.array(owners)], names=["kind", "key", "fp"])
 
-    rows = common.save(nodes.mapInArrow(probes, "kind int, key long, fp long"), "simhash-probes")
+    rows = (tables.save if tables else common.save)(nodes.mapInArrow(common.tidy(probes) if tables else probes, "kind int, key long, fp long"), "simhash-probes")
     index, asked = rows.where("kind = 0").select("key", F.col("fp").alias("a")), rows.where("kind = 1").select("key", F.col("fp").alias("b"))
     probed = index.join(asked, "key").where((F.col("a") != F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius)).select("a", "b")
     at_point = rows.where("kind = 2").groupBy("key").agg(F.min("fp").alias("a"), F.collect_list("fp").alias("members")).where("size(members) > 1")
@@ -215,3 +263,10 @@ def near_components(docs: DataFrame) -> DataFrame:
     prints = common.save(fingerprints(docs, "doc_id"), "simhash-prints")
     groups = fingerprint_components(prints)
     return prints.join(groups, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """The row with the smallest doc_id of each group of near copies; see near_copies."""
+    from . import near_copies  # which uses this module
+
+    return near_copies.keep_one(docs)

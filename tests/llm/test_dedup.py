@@ -337,3 +337,55 @@ def test_similar_texts_leave_one(spark, monkeypatch, least_crowd, block):
     beyond = [i for i in range(len(rows)) if i not in kept and all((expected_print(rows[i][1]) ^ expected_print(t)).bit_count() > 2 for j, t in rows if j != i)]
     assert len(beyond) > 20  # similar texts that op1's fingerprints do not link
     assert sorted(r["doc_id"] for r in near_copies.keep_one(docs(spark, rows)).collect()) == kept
+
+
+@pytest.mark.parametrize("radius", [5, 9])
+def test_links_within_a_wide_radius(spark, radius):
+    """All pairs within the radius, by thresholds of the parts that sum to radius - parts + 1."""
+    rng = random.Random(radius)
+    values = [rng.getrandbits(64) for _ in range(500)]
+    values = sorted({v ^ sum(1 << b for b in rng.sample(range(64), rng.randint(1, radius + 2))) for v in values[:250]} | set(values))
+    nodes = spark.createDataFrame([(signed(v),) for v in values], "fp long")
+    made = {(min(r["a"], r["b"]), max(r["a"], r["b"])) for r in simhash.links(nodes, radius, 10_000).collect()}
+    close = {(min(signed(a), signed(b)), max(signed(a), signed(b))) for k, a in enumerate(values) for b in values[:k] if (a ^ b).bit_count() <= radius}
+    assert len(close) > 100 and made == close
+
+
+def test_wide_thresholds_cover_every_pair():
+    rng = np.random.default_rng(6)
+    fp = rng.integers(-(1 << 62), 1 << 62, 300)
+    for total in (200, 10_000, 200_000, 13_000_000):
+        radius, cost = simhash.widest(total, near_copies.PROBE_COST, near_copies.MAX_RADIUS)
+        parts = min(simhash.PARTS, key=lambda n: simhash.even_cost(total, n, radius))
+        assert simhash.even_cost(total, parts, radius) == cost <= near_copies.PROBE_COST
+        groups = [list(range(k, 64, parts)) for k in range(parts)]
+        t, c = simhash.allocate(simhash.part_values(fp, groups), [len(g) for g in groups], rng.integers(0, 1000, (parts, simhash.CELLS)).astype(float), radius)
+        assert (t.sum(1) == radius - parts + 1).all() and t.min() >= -1 and t.max() <= simhash.MAX_EACH and np.isfinite(c).all()
+
+
+def test_near_copies_are_found_by_fingerprints(spark, monkeypatch):
+    """The stage without its buckets: five-word fingerprints link all similar texts within the radius, and nothing else."""
+    import corpus_pipeline
+
+    rng = random.Random(8)
+    rows = []
+    for _ in range(60):
+        base = [f"w{rng.randrange(900)}" for _ in range(250)]
+        for _ in range(2):
+            rows.append((len(rows), " ".join("x" if k == at else w for at in [rng.randrange(300)] for k, w in enumerate(base))))
+    prints = [int(simhash.majority(near_copies.elements(t.encode().split()))) for _, t in rows]
+    distinct = len({t for _, t in rows})
+    radius, _ = simhash.widest(len(set(prints)), near_copies.PROBE_COST, near_copies.MAX_RADIUS)
+    near = [(a ^ b) & (1 << 64) - 1 for a, b in zip(prints[::2], prints[1::2])]
+    assert distinct > 80 and max(v.bit_count() for v in near) <= radius and sum(v.bit_count() > 2 for v in near) > 5
+    monkeypatch.setattr(near_copies, "other_links", lambda nodes, close, *_: close.limit(0))
+    kept = corpus_pipeline.keep_one_of_near_copies(spark, docs(spark, rows), "")
+    assert sorted(r["doc_id"] for r in kept.collect()) == list(range(0, 120, 2)) == least_of_similar(dict(rows))
+
+
+def test_fingerprints_of_hashes_are_majorities(monkeypatch):
+    monkeypatch.setattr(simhash, "SHINGLES_AT_ONCE", 7)
+    h = np.random.default_rng(2).integers(0, 1 << 63, 30, np.int64).astype(np.uint64) * np.uint64(2)
+    for n in (1, 2, 7, 30):
+        assert simhash.majority(h[:n]) == signed(sum(1 << b for b in range(64) if 2 * sum(int(x) >> b & 1 for x in h[:n]) > n))
+    assert simhash.majority(h[:0]) == 0
