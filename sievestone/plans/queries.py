@@ -751,7 +751,7 @@ def verdict(spark, d):
 def report_file(spark, d):
     folder = new_folder(spark, "report")
     files.write_report(checked(spark, d), folder)
-    return files.scan_report(spark, f"{folder}/*.json", "quantity string, expected long, measured long, difference long, ok boolean")
+    return files.scan_report(spark, f"{folder}/*.json", "quantity string, expected long, measured long, difference long, ok boolean", lines=True)
 
 
 # Compliance

@@ -57,8 +57,9 @@ def coco_tables(documents: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     return images, categories, annotations
 
 
-def scan_report(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
-    reader = spark.read.option("multiLine", True)
+def scan_report(spark: SparkSession, path: str, schema: str | None = None, lines: bool = False) -> DataFrame:
+    """Reports, of a document each or as write_report() gives them, of a line for each row; a file of lines read as a document gives its first row alone."""
+    reader = spark.read.option("multiLine", not lines)
     return (reader.schema(schema) if schema else reader).json(path)
 
 

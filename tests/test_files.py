@@ -89,6 +89,16 @@ def test_gate_state_lasts_across_micro_batches(spark, tmp_path):
     assert ids == [-(2 << 20) - k for k in (1, 2, 3)]
 
 
+def test_report_of_many_rows_in_a_file(spark, tmp_path):
+    """AQE writes the rows of a larger table to one file."""
+    rows = spark.range(5).selectExpr("cast(id AS string) AS quantity", "id AS measured").coalesce(1)
+    files.write_report(rows, str(tmp_path / "report"))
+    made = files.scan_report(spark, str(tmp_path / "report"), "quantity string, measured long", lines=True)
+    assert sorted((r["quantity"], r["measured"]) for r in made.collect()) == [(str(k), k) for k in range(5)]
+    (tmp_path / "one.json").write_text('{\n "quantity": "a",\n "measured": 1\n}\n')
+    assert files.scan_report(spark, str(tmp_path / "one.json"), "quantity string, measured long").first()["measured"] == 1
+
+
 def test_search_source(spark):
     def pages(text, token):
         """A search service of three pages with two hits each."""
