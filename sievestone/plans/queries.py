@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
@@ -73,9 +73,9 @@ def boxes(spark: SparkSession, d: str) -> DataFrame:
     return by_sql(spark, d, BOXES, "lineitem")
 
 
-def hashes(spark: SparkSession, d: str) -> DataFrame:
-    """id, label, h, split: the signs of the vectors as 64 bits."""
-    rows = table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), "label", S.pack_bits(F.transform("embedding", lambda x: x > 0)).alias("h"))
+def hashes(spark: SparkSession, d: str, *more: Column) -> DataFrame:
+    """id, label, h, split (and more): the signs of the vectors as 64 bits."""
+    rows = table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), "label", S.pack_bits(F.transform("embedding", lambda x: x > 0)).alias("h"), *more)
     return rows.withColumn("split", F.expr(SPLIT.format(k="id")))
 
 
@@ -933,7 +933,7 @@ UNION ALL SELECT 'missing_label', cast(id AS varchar), NULL, split, NULL FROM i
 def preparation_manifest(spark, d):
     from .prepare import prepare
 
-    images = hashes(spark, d).withColumn("sha", F.sha2(F.bin("h"), 256))
+    images = hashes(spark, d, F.sha2(F.col("embedding").cast("string"), 256).alias("sha"))  # the vector is the content: equal signs alone are no exact copy
     rows = lines(spark, d).select(F.col("stem").cast("long").alias("id"), "line_no", "line")
     return prepare(images, rows, {0: "helmet", 1: "gloves"}, NEAR).manifest.select("type", "source", "kept", "split", "count")
 

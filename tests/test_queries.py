@@ -31,3 +31,24 @@ def test_no_pair_crosses_a_split_by_rules(spark):
 def test_no_pair_crosses_the_new_split(spark):
     made = QUERIES["resplit_crossings"](spark, "/root/testdata/sf0.01").collect()
     assert made and not any(r["crossing"] for r in made)
+
+
+def repeated(small, folder, **changed):
+    """The tables of a folder, some of them put in anew by DuckDB SQL."""
+    import os
+
+    import duckdb
+
+    for name in os.listdir(small):
+        if name.removesuffix(".parquet") not in changed:
+            os.symlink(f"{small}/{name}", folder / name)
+    for name, sql in changed.items():
+        duckdb.connect().sql(f"COPY ({sql.format(old=f"'{small}/{name}.parquet'")}) TO '{folder}/{name}.parquet'")
+    return str(folder)
+
+
+def test_equal_signs_are_no_exact_copies(spark, small, tmp_path):
+    """Vectors of equal signs and other lengths: near copies at distance 0, as in the SQL."""
+    d = repeated(small, tmp_path, embeddings="SELECT * FROM {old} UNION ALL SELECT vec_id + 500 + vec_id % 7, list_transform(embedding, lambda x: 2 * x), label FROM {old} WHERE vec_id < 40")
+    made = QUERIES["preparation_manifest"](spark, d).toPandas()
+    assert_same(made, connect(d).sql(ORACLES["preparation_manifest"]).df())
