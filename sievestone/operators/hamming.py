@@ -9,10 +9,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import hamming
+from . import blocks
 
 BITS = 64
 #: Values looked up for a part of a hash, at most.
 MAX_BALL = 1000
+#: Pairs that blocks compare in the time of one lookup of the index or one of its candidates.
+PAIRS_A_LOOKUP = 1000
 
 
 def part_widths(parts: int) -> list[int]:
@@ -20,21 +23,29 @@ def part_widths(parts: int) -> list[int]:
     return [BITS // parts + (k < BITS % parts) for k in range(parts)]
 
 
-def plan(threshold: int, rows: int) -> tuple[int, int]:
-    """Number of parts and the radius in each: the cheapest by lookups plus expected random candidates.
+def costs(threshold: int, rows: int) -> list[tuple[float, int, int]]:
+    """Lookups plus expected random candidates of a row, number of parts and the radius in each.
 
     Of `parts` parts one differs in at most threshold // parts bits. threshold + 1 parts need only equal
     ones; fewer, wider parts with a radius tell more rows apart.
     """
-    best = None
+    made = []
     for parts in range(1, min(threshold + 1, BITS) + 1):
         radius, width = threshold // parts, BITS // parts
         ball = sum(comb(width, r) for r in range(min(radius, width) + 1))
         if ball <= MAX_BALL:
-            cost = parts * ball * (1 + rows / 2.0**width)
-            if best is None or cost < best[0]:
-                best = cost, parts, radius
-    return (best[1], best[2]) if best else (1, BITS)
+            made.append((parts * ball * (1 + rows / 2.0**width), parts, radius))
+    return made or [(float(rows), 1, BITS)]
+
+
+def plan(threshold: int, rows: int) -> tuple[int, int]:
+    """Number of parts and the radius in each: the cheapest."""
+    return min(costs(threshold, rows))[1:]
+
+
+def by_blocks(threshold: int, rows: int) -> bool:
+    """Whether comparing all pairs costs less than the cheapest index. With 20 bits it always does: an index tells little apart there, and the pairs found grow with the square too."""
+    return rows / 2 < PAIRS_A_LOOKUP * min(costs(threshold, rows))[0]
 
 
 def parts_of(h: Column, parts: int, radius: int) -> Column:
@@ -55,6 +66,10 @@ def parts_of(h: Column, parts: int, radius: int) -> Column:
     return F.concat(*made)
 
 
+def kind(rows: DataFrame, column: str = "id") -> str:
+    return dict(rows.dtypes)[column]
+
+
 def hash_links(left: DataFrame, right: DataFrame, threshold: int) -> DataFrame:
     """ha, hb, d for the pairs of distinct hashes (h) of two tables within a threshold below 64 bits."""
     a, b = left.select(F.col("h").alias("ha")).where("ha IS NOT NULL").distinct(), right.select(F.col("h").alias("hb")).where("hb IS NOT NULL").distinct()
@@ -66,19 +81,26 @@ def hash_links(left: DataFrame, right: DataFrame, threshold: int) -> DataFrame:
 
 
 def hamming_join(left: DataFrame, right: DataFrame, threshold: int) -> DataFrame:
-    """a, b, d for all pairs of rows (id, h) of two tables. Hashes are compared once each, then rows are put in."""
+    """a, b, d for all pairs of rows (id, h) of two tables. An index compares hashes once each, then rows are put in."""
+    n = max(left.count(), right.count())
+    if by_blocks(threshold, n):
+        return blocks.crossed(left, right, [], ["h", "id"], n, blocks.pairs(threshold, "id"), f"a {kind(left)}, b {kind(right)}, d int")
     links = hash_links(left, right, threshold)
     a, b = left.select(F.col("id").alias("a"), F.col("h").alias("ha")), right.select(F.col("id").alias("b"), F.col("h").alias("hb"))
     return links.join(a, "ha").join(b, "hb").select("a", "b", "d")
 
 
 def hamming_pairs(rows: DataFrame, threshold: int) -> DataFrame:
-    """a < b, d for all pairs of rows (id, h) within a threshold."""
-    return hamming_join(rows, rows, threshold).where("a < b")
+    """a < b, d for all pairs of rows (id, h) within a threshold. Rows leave in the order they are found; none is shuffled or sorted where blocks are compared."""
+    n = rows.count()
+    if not by_blocks(threshold, n):
+        return hamming_join(rows, rows, threshold).where("a < b")
+    found = blocks.crossed(rows, None, [], ["h", "id"], n, blocks.pairs(threshold, "id"), f"a {kind(rows)}, b {kind(rows)}, d int")
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "d").where("a < b")
 
 
 def copy_edges(rows: DataFrame, threshold: int) -> DataFrame:
-    """Edges (a, b) that connect the rows (id, h) as all pairs within the threshold would, at most one for each row and each pair of hashes.
+    """Edges (a, b) that connect the rows (id, h) as all pairs within the threshold would, at most one for each row and each pair of hashes; of blocks a forest.
 
     Rows with equal hashes hang on the smallest of them; links are between those. Use this for groups,
     where a hash that many rows share would make a square of pairs.
@@ -87,7 +109,11 @@ def copy_edges(rows: DataFrame, threshold: int) -> DataFrame:
     stars = rows.join(least, "h").where("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b"))
     if threshold == 0:
         return stars
-    links = hash_links(rows, rows, threshold).where("ha < hb")
+    n = least.count()
+    if by_blocks(threshold, n):
+        links = blocks.crossed(least, None, [], ["h"], n, blocks.forest(threshold), "a long, b long").select(F.col("a").alias("ha"), F.col("b").alias("hb"))
+    else:
+        links = hash_links(least, least, threshold).where("ha < hb")
     one, two = least.select(F.col("h").alias("ha"), F.col("rep").alias("a")), least.select(F.col("h").alias("hb"), F.col("rep").alias("b"))
     return stars.unionByName(links.join(one, "ha").join(two, "hb").select("a", "b"))
 
@@ -95,6 +121,10 @@ def copy_edges(rows: DataFrame, threshold: int) -> DataFrame:
 def distance_histogram(rows: DataFrame, threshold: int, *keys: str) -> DataFrame:
     """keys, d, pairs: pairs of rows (h) with equal keys within a threshold, from counts by hash."""
     counts = rows.where("h IS NOT NULL").groupBy(*keys, "h").agg(F.count("*").alias("n"))
+    n = counts.count()
+    if by_blocks(threshold, n):
+        met = blocks.crossed(counts, None, list(keys), ["h", "n"], n, blocks.counts(threshold), "d int, pairs long", lambda a, b: a == b)
+        return met.groupBy(*(F.col(f"a_{k}").alias(k) for k in keys), "d").agg(F.sum("pairs").alias("pairs"))
     one, two = (counts.select(*(F.col(k).alias(f"{c}_{k}") for k in keys), F.col("h").alias(f"h{c}"), F.col("n").alias(f"n{c}")) for c in "ab")
     met = hash_links(counts, counts, threshold).where("ha <= hb").join(one, "ha").join(two, "hb")
     for k in keys:
@@ -105,9 +135,14 @@ def distance_histogram(rows: DataFrame, threshold: int, *keys: str) -> DataFrame
 
 def overlap_counts(left: DataFrame, right: DataFrame, thresholds: tuple[int, ...] = (0, 2, 4, 8)) -> DataFrame:
     """threshold, pairs: pairs of rows of two tables within each threshold, from counts by hash."""
-    links = hash_links(left, right, max(thresholds))
-    na, nb = left.groupBy(F.col("h").alias("ha")).agg(F.count("*").alias("na")), right.groupBy(F.col("h").alias("hb")).agg(F.count("*").alias("nb"))
-    sums = links.join(na, "ha").join(nb, "hb").agg(*(F.coalesce(F.sum(F.when(F.col("d") <= t, F.col("na") * F.col("nb"))), F.lit(0)).alias(str(t)) for t in thresholds))
+    sizes = [rows.where("h IS NOT NULL").groupBy("h").agg(F.count("*").alias("n")) for rows in (left, right)]
+    n = max(x.count() for x in sizes)
+    if by_blocks(max(thresholds), n):
+        met = blocks.crossed(*sizes, [], ["h", "n"], n, blocks.counts(max(thresholds)), "d int, pairs long")
+    else:
+        na, nb = (x.select(F.col("h").alias(f"h{c}"), F.col("n").alias(f"n{c}")) for x, c in zip(sizes, "ab"))
+        met = hash_links(left, right, max(thresholds)).join(na, "ha").join(nb, "hb").select("d", (F.col("na") * F.col("nb")).alias("pairs"))
+    sums = met.agg(*(F.coalesce(F.sum(F.when(F.col("d") <= t, F.col("pairs"))), F.lit(0)).alias(str(t)) for t in thresholds))
     return sums.select(F.inline(F.array(*(F.struct(F.lit(t).alias("threshold"), F.col(str(t)).alias("pairs")) for t in thresholds))))
 
 
@@ -120,6 +155,10 @@ def first_pairs(rows: DataFrame, threshold: int, n: int, *keys: str) -> DataFram
     from .ranking import capped
 
     few = capped(rows.where("h IS NOT NULL").select(*keys, "h", "id"), [*keys, "h"], [F.col("id")], n + 1)
+    size = few.count()
+    if by_blocks(threshold, size):
+        found = blocks.crossed(few, None, list(keys), ["h", "id"], size, blocks.first(threshold, n), f"a {kind(rows)}, b {kind(rows)}, d int", lambda a, b: a == b)
+        return capped(found.select(*(F.col(f"a_{k}").alias(k) for k in keys), "a", "b", "d"), list(keys), [F.col("a"), F.col("b")], n)
     one, two = (few.select(*(F.col(k).alias(f"{c}_{k}") for k in keys), F.col("h").alias(f"h{c}"), F.col("id").alias(c)) for c in "ab")
     met = hash_links(few, few, threshold).join(one, "ha").join(two, "hb").where("a < b")
     for k in keys:

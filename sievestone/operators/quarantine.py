@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import SPLIT_ALIASES, SPLIT_PRIORITY
 from .graph import grouped
-from .hamming import copy_edges, hash_links
+from . import blocks
+from .hamming import by_blocks, copy_edges, hash_links, kind
 
 
 def lookup(table: dict, c: Column) -> Column:
@@ -43,12 +44,23 @@ def near_quarantine(rows: DataFrame, threshold: int) -> DataFrame:
     The best of each hash and split stands for its rows, so copies do not multiply the links.
     """
     best = rows.where("h IS NOT NULL").withColumn("p", priority(F.col("split"))).groupBy("h", "p").agg(F.min("id").alias("rep"))
+    placed = rows.withColumn("pa", priority(F.col("split")))
+    size = best.count()
+    if by_blocks(threshold, size):
+        found = blocks.crossed(best.withColumnRenamed("rep", "id"), None, ["p"], ["h", "id"], size, blocks.nearest(threshold), f"h long, b {kind(rows)}, d int", lambda a, b: a < b)
+        kept = found.groupBy(F.col("h").alias("ha"), F.col("a_p").alias("pa")).agg(F.min(F.struct("b", "d")).alias("kept"))
+    else:
+        kept = nearest_links(rows, best, threshold)
+    kept = kept.withColumnRenamed("pa", "pk")
+    return placed.join(kept, (placed["h"] == kept["ha"]) & (placed["pa"] == kept["pk"])).select(F.col("id").alias("removed"), F.col("kept.b").alias("kept"), "split", F.col("kept.d").alias("distance"))
+
+
+def nearest_links(rows: DataFrame, best: DataFrame, threshold: int) -> DataFrame:
+    """ha, pa, kept (b, d): the smallest id near a hash of a priority among those of higher ones, by the index."""
     links = hash_links(rows, rows, threshold)
     above = links.join(best.withColumnsRenamed({"h": "hb", "p": "pb", "rep": "b"}), "hb")
     below = best.select(F.col("h").alias("ha"), F.col("p").alias("pa"))
-    kept = below.join(above, "ha").where("pa < pb").groupBy("ha", "pa").agg(F.min(F.struct("b", "d")).alias("kept"))
-    placed = rows.withColumn("pa", priority(F.col("split")))
-    return placed.join(kept, (placed["h"] == kept["ha"]) & (placed["pa"] == kept["pa"])).select(F.col("id").alias("removed"), F.col("kept.b").alias("kept"), "split", F.col("kept.d").alias("distance"))
+    return below.join(above, "ha").where("pa < pb").groupBy("ha", "pa").agg(F.min(F.struct("b", "d")).alias("kept"))
 
 
 def clique_quarantine(rows: DataFrame, threshold: int = 0) -> DataFrame:

@@ -10,7 +10,8 @@ from pyspark.sql import Window as W
 
 from ..functions.scalars import hamming
 from ..sources.scratch import save
-from .hamming import hash_links
+from . import blocks
+from .hamming import by_blocks, hash_links
 from .ranking import ranked, seeded
 
 SPLITS = ("train", "val", "test")
@@ -95,6 +96,10 @@ def source_links(rows: DataFrame, key: str = "source") -> DataFrame:
 def split_pair_counts(rows: DataFrame, threshold: int) -> DataFrame:
     """first_split, second_split (in order of name), d, pairs: pairs of rows (id, h, split) within a threshold, from counts by hash and split. Rows without a split are left out."""
     counts = rows.where("h IS NOT NULL AND split IS NOT NULL").groupBy("h", "split").agg(F.count("*").alias("n"))
+    size = counts.count()
+    if by_blocks(threshold, size):
+        met = blocks.crossed(counts, None, ["split"], ["h", "n"], size, blocks.counts(threshold), "d int, pairs long").withColumnsRenamed({"a_split": "split_a", "b_split": "split_b"})
+        return met.groupBy(F.least("split_a", "split_b").alias("first_split"), F.greatest("split_a", "split_b").alias("second_split"), "d").agg(F.sum("pairs").alias("pairs"))
     one, two = (counts.select(F.col("h").alias(f"h{c}"), F.col("split").alias(f"split_{c}"), F.col("n").alias(f"n{c}")) for c in "ab")
     met = hash_links(counts, counts, threshold).where("ha <= hb").join(one, "ha").join(two, "hb")
     own = (F.col("ha") == F.col("hb")) & (F.col("split_a") == F.col("split_b"))

@@ -333,3 +333,49 @@ def test_saved_tables_are_dropped_and_clusters_need_a_folder(spark):
 
     with pytest.raises(ValueError, match="share"):
         scratch.shared_folder(Cluster)
+
+
+@pytest.mark.parametrize("lookup", [0, 10**9])
+def test_index_and_blocks_equal_brute_force(spark, monkeypatch, lookup):
+    """Both ways to compare hashes, over several blocks, with copies and rows without a hash."""
+    from sievestone.operators import blocks
+
+    monkeypatch.setattr(hamming, "PAIRS_A_LOOKUP", lookup)
+    monkeypatch.setattr(blocks, "SMALL", 30)
+    values, _ = hash_rows(spark, 130, seed=11)
+    values += [(1000 + k, values[k][1], "test") for k in range(9)] + [(2000, None, "val")]
+    rows = spark.createDataFrame([(f"i{i:05}", h, s) for i, h, s in values], "id string, h long, split string")
+    t, rank, name = 14, {"train": 1, "val": 2, "test": 3}, {i: f"i{i:05}" for i, _, _ in values}
+    near = sorted((name[a], name[b], distance(x, y), r, s) for a, x, r in values for b, y, s in values if None not in (x, y) and a < b and distance(x, y) <= t)
+    assert sorted(tuple(r) for r in hamming.hamming_pairs(rows, t).collect()) == [p[:3] for p in near]
+    count = lambda keys: {k: sum(x == k for x in keys) for k in set(keys)}
+    assert {tuple(r)[:2]: r["pairs"] for r in hamming.distance_histogram(rows, t, "split").collect()} == count([(r, d) for _, _, d, r, s in near if r == s])
+    assert {tuple(r)[:3]: r["pairs"] for r in splitting.split_pair_counts(rows, t).collect()} == count([(min(r, s), max(r, s), d) for _, _, d, r, s in near])
+    sides = rows.where("split = 'train'"), rows.where("split <> 'train'")
+    made = {r["threshold"]: r["pairs"] for r in hamming.overlap_counts(*sides, (3, t)).collect()}
+    assert made == {x: sum(d <= x and (r == "train") != (s == "train") for _, _, d, r, s in near) for x in (3, t)}
+    assert {tuple(r) for r in hamming.hamming_join(*sides, t).collect()} == {(a, b, d) if r == "train" else (b, a, d) for a, b, d, r, s in near if (r == "train") != (s == "train")}
+    firsts = {s: [(a, b, d) for a, b, d, r, u in near if r == u == s][:5] for s in rank}
+    assert sorted(tuple(r) for r in hamming.first_pairs(rows, t, 5, "split").collect()) == sorted((s, *p) for s in rank for p in firsts[s])
+    kept = {}
+    for a, b, d, r, s in near:
+        for one, two, p, q in ((a, b, r, s), (b, a, s, r)):
+            if rank[p] < rank[q]:
+                kept[one] = min(kept.get(one, (two, d)), (two, d))
+    assert {r["removed"]: (r["kept"], r["distance"]) for r in quarantine.near_quarantine(rows, t).collect()} == kept
+    groups = {x: {x} for x in name.values()}
+    for a, b, *_ in near:
+        if groups[a] is not groups[b]:
+            groups[a] |= groups[b]
+            groups.update(dict.fromkeys(groups[b], groups[a]))
+    made = graph.grouped(rows, hamming.copy_edges(rows, t), "id").collect()
+    assert {r["id"]: r["group_id"] for r in made} == {x: min(g) for x, g in groups.items()}
+
+
+def test_wide_thresholds_look_nothing_up(spark):
+    """At 30 bits a third of all pairs are near: their counts and their groups are folded block by block, without an exploded row or a link for each pair."""
+    rows = spark.range(3000).select("id", F.xxhash64("id").alias("h"), F.lit("a").alias("split"))
+    assert hamming.copy_edges(rows, 30).count() < 30_000
+    for made in (hamming.distance_histogram(rows, 30), splitting.split_pair_counts(rows, 30), hamming.overlap_counts(rows, rows, (30,)), hamming.hamming_pairs(rows, 30)):
+        plan = made._jdf.queryExecution().optimizedPlan().toString()
+        assert "MapInArrow" in plan and "Generate" not in plan
