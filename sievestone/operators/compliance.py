@@ -12,12 +12,17 @@ LEAST_SCORE = 0.45
 
 
 def assign_items(workers: DataFrame, items: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
-    """frame_no, item, cls, track_id, score: each item (frame_no, item, cls, box, conf) goes to the worker (frame_no, track_id, pos, box) of its frame it fits best; of equals to the first."""
+    """frame_no, item, cls, track_id, score: each item (frame_no, item, cls, box, conf) goes to the worker (frame_no, track_id, pos, box) of its frame it fits best; of equals to the first.
+
+    Of workers with one box only the first can be best, so items meet each box of their frame once; pairs below
+    the least score go before the best is looked for.
+    """
     known = items.where(F.col("cls").isin(*REQUIRED_ITEMS))
-    pairs = known.select("frame_no", "item", "cls", "conf", F.col("box").alias("i")).join(workers.select("frame_no", "track_id", "pos", F.col("box").alias("w")), "frame_no")
-    scored = pairs.withColumn("score", association_score(F.col("w"), F.col("i"), F.col("cls"), F.col("conf")))
+    firsts = workers.groupBy("frame_no", F.col("box").alias("w")).agg(F.max_by(F.struct("track_id", "pos"), F.struct(-F.col("pos"))).alias("_first")).select("frame_no", "w", "_first.track_id", "_first.pos")
+    pairs = known.select("frame_no", "item", "cls", "conf", F.col("box").alias("i")).join(firsts, "frame_no")
+    scored = pairs.withColumn("score", association_score(F.col("w"), F.col("i"), F.col("cls"), F.col("conf"))).where(F.col("score") >= least)
     best = scored.groupBy("frame_no", "item", "cls").agg(F.max_by(F.struct("track_id", "score"), F.struct("score", -F.col("pos"))).alias("best"))
-    return best.select("frame_no", "item", "cls", "best.track_id", "best.score").where(F.col("score") >= least)
+    return best.select("frame_no", "item", "cls", "best.track_id", "best.score")
 
 
 def status(workers: DataFrame, assigned: DataFrame, required: tuple[str, ...] = REQUIRED_ITEMS) -> DataFrame:
@@ -53,16 +58,17 @@ def persistent(rows: DataFrame, key: str, order: list[str], bad: str, confirm: i
 
 
 def uncovered(people: DataFrame, items: DataFrame, least: float) -> DataFrame:
-    """People (frame_no, track_id, box) without an item box (frame_no, box) that overlaps theirs by that much."""
-    p, i = people.select("frame_no", "track_id", F.col("box").alias("p")), items.select("frame_no", F.col("box").alias("i"))
-    held = p.join(i, "frame_no").where(iou(F.col("p"), F.col("i")) >= least).select("frame_no", "track_id").distinct()
-    return people.join(held, ["frame_no", "track_id"], "left_anti")
+    """People (frame_no, track_id, box) without an item box (frame_no, box) that overlaps theirs by that much. Boxes that are equal are compared once."""
+    p, i = (rows.select("frame_no", F.col("box").alias(c)).distinct() for rows, c in ((people, "p"), (items, "i")))
+    held = p.join(i, "frame_no").where(iou(F.col("p"), F.col("i")) >= least).select(F.col("frame_no").alias("_frame"), "p").distinct()
+    same = (people["frame_no"] == held["_frame"]) & people["box"].eqNullSafe(held["p"])
+    return people.join(people.join(held, same, "left_semi").select("frame_no", "track_id").distinct(), ["frame_no", "track_id"], "left_anti")
 
 
 def assign_heads(people: DataFrame, heads: DataFrame, least: float) -> DataFrame:
-    """frame_no, head, track_id: each head box goes to the person whose box it overlaps most as a share of the head, if by that much; of equals to the smallest track."""
-    p, h = people.select("frame_no", "track_id", F.col("box").alias("p")), heads.select("frame_no", F.col("idx").alias("head"), F.col("box").alias("h"))
+    """frame_no, head, track_id: each head box goes to the person whose box it overlaps most as a share of the head, if by that much; of equals to the smallest track. Of people with one box only that one can be best."""
+    p, h = people.groupBy("frame_no", F.col("box").alias("p")).agg(F.min("track_id").alias("track_id")), heads.select("frame_no", F.col("idx").alias("head"), F.col("box").alias("h"))
     side = lambda low, high: F.greatest(F.least(F.col("p")[high], F.col("h")[high]) - F.greatest(F.col("p")[low], F.col("h")[low]), F.lit(0.0))
     share = side("x1", "x2") * side("y1", "y2") / F.greatest((F.col("h.x2") - F.col("h.x1")) * (F.col("h.y2") - F.col("h.y1")), F.lit(1e-9))
-    best = h.join(p, "frame_no").withColumn("share", share).groupBy("frame_no", "head").agg(F.max_by(F.struct("track_id", "share"), F.struct("share", -F.col("track_id"))).alias("b"))
-    return best.where(F.col("b.share") >= least).select("frame_no", "head", "b.track_id")
+    best = h.join(p, "frame_no").withColumn("share", share).where(F.col("share") >= least).groupBy("frame_no", "head").agg(F.max_by(F.struct("track_id", "share"), F.struct("share", -F.col("track_id"))).alias("b"))
+    return best.select("frame_no", "head", "b.track_id")

@@ -379,3 +379,63 @@ def test_wide_thresholds_look_nothing_up(spark):
     for made in (hamming.distance_histogram(rows, 30), splitting.split_pair_counts(rows, 30), hamming.overlap_counts(rows, rows, (30,)), hamming.hamming_pairs(rows, 30)):
         plan = made._jdf.queryExecution().optimizedPlan().toString()
         assert "MapInArrow" in plan and "Generate" not in plan
+
+
+def crowded(spark, n_workers, n_items, seed=8):
+    """Two frames of workers and items on a coarse grid, with boxes that many share, and nulls."""
+    rng = random.Random(seed)
+    kind = "struct<x1: double, y1: double, x2: double, y2: double>"
+
+    def box(w, h):
+        x, y = 10.0 * rng.randrange(12), 10.0 * rng.randrange(6)
+        return (x, y, x + w, y + h)
+
+    workers = [(k % 2, k if k % 9 else -k, k, box(40, 100)) for k in range(n_workers)]
+    items = [(k % 2, k, rng.choice(["helmet", "gloves", "goggles", "vest", "boots", None]), box(10, 10), rng.choice([0.5, 0.9, 1.5, None])) for k in range(n_items)]
+    return spark.createDataFrame(workers, f"frame_no long, track_id long, pos long, box {kind}"), spark.createDataFrame(items, f"frame_no long, item long, cls string, box {kind}, conf double")
+
+
+def test_crowds_equal_all_pairs(spark):
+    """Each box is compared once, however many have it; the results are those of all pairs of rows."""
+    from sievestone.streaming import frames
+
+    workers, items = crowded(spark, 300, 250)
+    w, i = workers.select("frame_no", "track_id", "pos", F.col("box").alias("w")), items.withColumnRenamed("box", "i")
+    pairs = i.join(w, "frame_no").withColumn("score", S.association_score(F.col("w"), F.col("i"), F.col("cls"), F.col("conf"))).where("cls <> 'boots'")
+    best = {}
+    for r in pairs.collect():
+        key, value = (r["frame_no"], r["item"], r["cls"]), (r["score"], -r["pos"], r["track_id"])
+        best[key] = max(best.get(key, value), value)
+    want = {(*k, v[2], v[0]) for k, v in best.items() if v[0] >= compliance.LEAST_SCORE}
+    assigned = compliance.assign_items(workers, items)
+    assert {tuple(r) for r in assigned.collect()} == want
+    status = {(r["frame_no"], r["track_id"], tuple(r["missing"])) for r in compliance.status(workers, assigned).collect()}
+    lists = workers.groupBy("frame_no").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "track_id", "box"))), lambda x: F.struct(x["track_id"].alias("track_id"), x["box"].alias("box"))).alias("workers"))
+    rows = lists.join(items.groupBy("frame_no").agg(F.collect_list(F.struct("cls", "box", "conf")).alias("items")), "frame_no")
+    made = frames.frame_statuses(rows).collect()
+    assert len(made) == 300 and {(r["frame"], r["track_id"], tuple(r["missing"])) for r in made} == status
+    heads = items.where("cls = 'helmet'").withColumnRenamed("item", "idx")
+    over = lambda r: max(min(r["w"]["x2"], r["i"]["x2"]) - max(r["w"]["x1"], r["i"]["x1"]), 0) * max(min(r["w"]["y2"], r["i"]["y2"]) - max(r["w"]["y1"], r["i"]["y1"]), 0)
+    share, held = {}, set()
+    for r in pairs.where("cls IN ('helmet', 'vest')").collect():
+        if r["cls"] == "vest" and over(r) / (4100 - over(r)) >= 0.01:
+            held.add((r["frame_no"], r["track_id"]))
+        if r["cls"] == "helmet" and over(r) >= 50:
+            value = (over(r), -r["track_id"])
+            share[r["frame_no"], r["item"]] = max(share.get((r["frame_no"], r["item"]), value), value)
+    assert {tuple(r) for r in compliance.assign_heads(workers, heads, 0.5).collect()} == {(*k, -v[1]) for k, v in share.items()}
+    bare = compliance.uncovered(workers, items.where("cls = 'vest'"), 0.01).select("frame_no", "track_id").collect()
+    assert {tuple(r) for r in bare} == {(r["frame_no"], r["track_id"]) for r in workers.collect()} - held
+
+
+def test_many_workers_of_one_box_in_a_frame(spark):
+    """20,000 workers and as many items of one frame: all pairs would be 400 million."""
+    from sievestone.streaming import frames
+
+    workers, items = crowded(spark, 40_000, 0)
+    items = spark.range(40_000).selectExpr("id % 2 AS frame_no", "id AS item", "'vest' AS cls", "named_struct('x1', id % 100 * 1.0D, 'y1', 40.0D, 'x2', id % 100 + 10.0D, 'y2', 50.0D) AS box", "0.5D AS conf")
+    assert compliance.assign_items(workers, items).count() == 40_000
+    plan = compliance.assign_items(workers, items)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("max_by") < plan.index("Join") < plan.rindex("max_by")  # boxes are made one before they meet items
+    rows = workers.groupBy("frame_no").agg(F.collect_list(F.struct("track_id", "box")).alias("workers")).join(items.groupBy("frame_no").agg(F.collect_list(F.struct("cls", "box", "conf")).alias("items")), "frame_no")
+    assert frames.frame_statuses(rows).count() == 40_000
