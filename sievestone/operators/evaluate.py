@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,29 +26,48 @@ def candidates(predictions: DataFrame, truth: DataFrame, least: float = 0.5) ->
 def greedy_matches(predictions: DataFrame, truth: DataFrame, least: float = 0.5) -> DataFrame:
     """One-to-one matches, the largest overlap first, then by prediction and truth.
 
-    Candidates are sorted by image and overlap and taken one after another; only the boxes of one image
+    Candidates are sorted by image and overlap and taken batch by batch; only the boxes of one image
     that are matched already are kept in memory.
     """
 
     def match(batches: Iterator) -> Iterator:
-        image, taken_p, taken_g = None, set(), set()
+        image, taken = None, [np.empty(0, np.int64)] * 2
         for b in batches:
-            keep = []
-            for i, p, g in zip(*(b.column(c).to_pylist() for c in ("image", "pred", "gt"))):
-                if i != image:
-                    image, taken_p, taken_g = i, set(), set()
-                free = p not in taken_p and g not in taken_g
-                keep.append(free)
-                if free:
-                    taken_p.add(p)
-                    taken_g.add(g)
-            yield b.filter(pa.array(keep, pa.bool_()))
+            if not b.num_rows:
+                continue
+            names, ends = b.column("image"), [b.column(c).fill_null(-(1 << 31)).to_numpy().astype(np.int64) for c in ("pred", "gt")]
+            turns = np.asarray(names[1:].to_numpy(zero_copy_only=False) != names[:-1].to_numpy(zero_copy_only=False), bool)
+            run = np.concatenate([[0], np.cumsum(turns)])
+            old = (run == 0) & (names[0].as_py() == image)
+            free = ~(old & (np.isin(ends[0], taken[0]) | np.isin(ends[1], taken[1])))
+            keep = np.zeros(b.num_rows, bool)
+            at = np.flatnonzero(free)
+            keep[at[first_of_both(*((run[at] << 32) + x[at] for x in ends))]] = True
+            last = keep & (run == run[-1])
+            same = names[-1].as_py() == image
+            taken = [np.concatenate([t if same else t[:0], x[last]]) for t, x in zip(taken, ends)]
+            image = names[-1].as_py()
+            yield b.filter(pa.array(keep))
 
     found = candidates(predictions, truth, least).selectExpr("cast(image AS string) image", "cast(pred AS int) pred", "cast(gt AS int) gt", "iou")
     placed = found.repartition("image").sortWithinPartitions("image", F.desc("iou"), "pred", "gt")
     return placed.mapInArrow(match, MATCHED)
 
 
+def first_of_both(p: np.ndarray, g: np.ndarray) -> np.ndarray:
+    """Places of the pairs that are taken one after another if neither end is taken yet.
+
+    In a round all pairs go that are the first left of both their ends, and with them what shares an end; the first pair left is always one of them.
+    """
+    left, kept = np.arange(len(p)), []
+    while len(left):
+        firsts = [np.unique(x[left], return_index=True)[1] for x in (p, g)]
+        now = left[np.intersect1d(*firsts)]
+        kept.append(now)
+        left = left[~(np.isin(p[left], p[now]) | np.isin(g[left], g[now]))]
+    return np.concatenate([*kept, left])
+
+
 def outcomes(predictions: DataFrame, truth: DataFrame, matches: DataFrame) -> DataFrame:
     """image, cls, outcome (tp, fn, fp) of each box; a match is one tp."""
     m = matches.select("image", "pred", "gt")

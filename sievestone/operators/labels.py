@@ -17,18 +17,16 @@ def parse(lines: DataFrame) -> DataFrame:
 
     The class must be written as an integer: `1.0` is not one.
     """
-    trimmed = F.trim(F.regexp_replace("line", r"\s+", " "))
-    rows = lines.withColumn("fields", F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, " ")))
+    rows = lines.withColumn("fields", F.regexp_extract_all("line", F.lit(r"\S+"), F.lit(0)))
     get = lambda k: F.get("fields", F.lit(k))
     whole = F.regexp_like(get(0), F.lit(r"^[+-]?[0-9]+$"))
-    numeric = whole
-    for k in range(1, 5):
-        numeric = numeric & F.regexp_like(get(k), F.lit(NUMBER))
-    rows = rows.withColumns({"n_fields": F.size("fields"), "numeric": F.coalesce(numeric, F.lit(False))})
-    rows = rows.withColumn("cls", F.when(whole, get(0).try_cast("int")))
+    rows = rows.withColumns({"n_fields": F.size("fields"), "_whole": F.coalesce(whole, F.lit(False))})
     for k, name in enumerate(FIELDS, 1):
         rows = rows.withColumn(name, F.when(F.regexp_like(get(k), F.lit(NUMBER)), get(k).try_cast("double")))
-    return rows
+    numeric = F.col("_whole")
+    for name in FIELDS:
+        numeric = numeric & F.col(name).isNotNull()  # what has the form of a number is one
+    return rows.withColumns({"numeric": numeric, "cls": F.when(F.col("_whole"), get(0).try_cast("int"))}).drop("_whole")
 
 
 def outside(name: str, low_open: bool) -> Column:
@@ -46,19 +44,18 @@ def validate(lines: DataFrame, mode: str, classes: list[int], keep: tuple[str, .
     """
     if mode not in MODES:
         raise ValueError(mode)
-    rows = parse(lines)
-    if mode not in ("qa", "final"):
-        rows = rows.where("n_fields > 0")
+    # A line without fields is told by its text: a filter on their number would take each line apart once more.
+    rows = parse(lines if mode in ("qa", "final") else lines.where(F.regexp_like("line", F.lit(r"\S"))))
     five, known = F.col("n_fields") == 5, F.col("cls").isin(*classes)
     good = five & F.col("numeric")
     centre, size = outside("xc", False) | outside("yc", False), outside("w", True) | outside("h", True)
     degenerate = good & ((F.col("w") <= 0) | (F.col("h") <= 0))
     cls_code = lambda pattern: F.format_string(pattern, F.col("cls"))
-    one = lambda c: F.array_compact(F.array(c))
+    one = lambda c: F.when(c.isNull(), nothing).otherwise(F.array(c))
     nothing = F.array().cast("array<string>")
     if mode == "audit":
         ranges = F.array_compact(F.array(F.when(~known, cls_code("bad_class:%d")), *(F.when(outside(n, n in "wh"), F.lit(f"{n}_out_of_range")) for n in FIELDS)))
-        errors = F.when(~five, F.array(F.format_string("bad_field_count:%d", F.col("n_fields")))).when(~F.col("numeric"), F.array(F.lit("non_numeric"))).otherwise(ranges)
+        errors = F.when(good & known & ~centre & ~size, nothing).when(~five, F.array(F.format_string("bad_field_count:%d", F.col("n_fields")))).when(~F.col("numeric"), F.array(F.lit("non_numeric"))).otherwise(ranges)
         is_box = good
     elif mode == "qa":
         first = F.when(~five, "not_5_fields").when(~F.col("numeric"), "non_numeric").when(~known, cls_code("class_id_%d_unexpected")).when(centre, "center_out_of_range").when(size, "size_out_of_range")

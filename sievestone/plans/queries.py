@@ -373,7 +373,8 @@ def class_order(spark, d):
 
 
 def truth_and_predictions(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    rows = boxes(spark, d)
+    # Kept, as both are read more than once, and each time the boxes would be dealt out and numbered again.
+    rows = save(boxes(spark, d).select("image", "idx", "cls", "xc", "yc", "w", "h", "px", "l_quantity"), "boxes")
     truth = rows.select("image", "idx", "cls", S.corners(*(F.col(c) for c in ("xc", "yc", "w", "h"))).alias("box"))
     moved = S.corners(F.col("xc") + (F.col("px") % 7 - 3) / 100.0, F.col("yc"), F.col("w"), F.col("h"))
     predictions = rows.where("l_quantity > 4").select("image", "idx", F.when(F.col("px") % 13 == 0, 1 - F.col("cls")).otherwise(F.col("cls")).alias("cls"), moved.alias("box"), (F.col("px") / 1000.0).alias("conf"))

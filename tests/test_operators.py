@@ -439,3 +439,30 @@ def test_many_workers_of_one_box_in_a_frame(spark):
     assert plan.index("max_by") < plan.index("Join") < plan.rindex("max_by")  # boxes are made one before they meet items
     rows = workers.groupBy("frame_no").agg(F.collect_list(F.struct("track_id", "box")).alias("workers")).join(items.groupBy("frame_no").agg(F.collect_list(F.struct("cls", "box", "conf")).alias("items")), "frame_no")
     assert frames.frame_statuses(rows).count() == 40_000
+
+
+def test_matches_of_an_image_over_many_batches(spark):
+    """Candidates of one image fill several Arrow batches; what an earlier one took stays taken. Python sees whole batches, not rows."""
+    rng = random.Random(9)
+    box = lambda: (x := rng.random() / 20, y := rng.random() / 20, x + 1, y + 1)
+    schema = "image string, idx int, cls int, box struct<x1: double, y1: double, x2: double, y2: double>"
+    P, G = (spark.createDataFrame([(f"i{k % 17 // 16}", k, 0, box()) for k in range(n)], schema) for n in (170, 190))
+    pairs = sorted((-r["iou"], r["pred"], r["gt"], r["image"]) for r in evaluate.candidates(P, G).collect())
+    taken, expected = set(), set()
+    for _, p, g, image in pairs:
+        if not {("p", p), ("g", g)} & taken:
+            taken |= {("p", p), ("g", g)}
+            expected.add((image, p, g))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 700)
+    try:
+        assert {(r["image"], r["pred"], r["gt"]) for r in evaluate.greedy_matches(P, G).collect()} == expected
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_lines_are_taken_apart_once(spark):
+    rows = spark.createDataFrame([("s", k, x) for k, x in enumerate(["\t0 .5\u000b.5  .2 .2\r", " \t", None, "0 1e3 .5 .2 x", "99999999999 .5 .5 .2 .2"])], "stem string, line_no int, line string")
+    made = labels.validate(rows, "audit", [0])
+    assert [(r["line_no"], r["errors"], r["cls"], r["is_box"]) for r in made.orderBy("line_no").collect()] == [(0, [], 0, True), (3, ["non_numeric"], 0, False), (4, [], None, True)]
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") == 1 and "regexp_replace" not in plan
