@@ -409,7 +409,7 @@ def greedy_matches(spark, d):
 
 def box_outcomes(spark: SparkSession, d: str) -> DataFrame:
     truth, predictions = truth_and_predictions(spark, d)
-    return evaluate.outcomes(predictions, truth, evaluate.greedy_matches(predictions, truth))
+    return evaluate.outcomes(predictions, truth, save(evaluate.greedy_matches(predictions, truth), "matches"))  # truth and predictions both read them
 
 
 @query(f"WITH RECURSIVE {D_OUTCOMES} SELECT cls, count(*) FILTER (WHERE outcome = 'tp') AS tp, count(*) FILTER (WHERE outcome = 'fn') AS fn, count(*) FILTER (WHERE outcome = 'fp') AS fp FROM u GROUP BY ROLLUP (cls)")
@@ -618,9 +618,10 @@ s AS (SELECT i.split, a, b, d, row_number() OVER (PARTITION BY i.split ORDER BY
 e AS (SELECT split, count(*) AS duplicate_pairs, string_agg(a || '-' || b || ':' || d, ',' ORDER BY a, b) FILTER (WHERE rn <= 10) AS examples FROM s GROUP BY split)
 SELECT n.*, unreadable + without_label + label_errors AS errors_total, coalesce(boxes, 0) AS boxes, class_counts, coalesce(duplicate_pairs, 0) AS duplicate_pairs, examples FROM n LEFT JOIN y USING (split) LEFT JOIN e USING (split)""")
 def qa_report(spark, d):
-    checked = labels.validate(lines(spark, d), "qa", [0, 1], ("stem", "line_no")).withColumn("id", F.col("stem").cast("long"))
+    checked = labels.validate(lines(spark, d), "qa", [0, 1], ("stem", "line_no"))
+    checked = save(checked.select(F.col("stem").cast("long").alias("id"), "cls", "is_box", (F.size("errors") > 0).alias("wrong")), "qa-lines")  # read twice
     rows = hashes(spark, d)
-    per = checked.groupBy("id").agg(F.count_if(F.size("errors") > 0).alias("errors"))
+    per = checked.groupBy("id").agg(F.count_if("wrong").alias("errors"))
     files_ = rows.join(per, "id", "left").select("split", (F.col("label") != 3).alias("readable"), F.col("errors").isNotNull().alias("has_label"), F.coalesce("errors", F.lit(0)).alias("n_errors"))
     valid = checked.where("is_box").join(rows.select("id", "split"), "id").select("split", "cls")
     made = audit.qa_report(files_, valid, rows.where("label <> 3"), NEAR)

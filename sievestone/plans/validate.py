@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import has_credentials
 from ..operators import audit, labels, splitting
+from ..sources.scratch import save
 
 
 def checks(images: DataFrame, lines: DataFrame, classes: list[int], threshold: int, texts: DataFrame) -> DataFrame:
@@ -15,11 +16,12 @@ def checks(images: DataFrame, lines: DataFrame, classes: list[int], threshold: i
     images (id, split, path, h), whose near pairs are those within threshold, lines (id, line_no, line), texts (name, text)
     of the files that go out. Errors and degenerate boxes are both counted; only errors have to be none.
     """
-    checked = labels.validate(lines, "final", classes, ("id", "line_no"))
+    # Kept, as three counts read it, and each time every line would be taken apart.
+    checked = save(labels.validate(lines, "final", classes, ("id", "line_no")).select("cls", F.size("errors").alias("n_errors"), "degenerate", "is_box"), "final-lines")
     one = lambda rows, name, c: rows.agg(F.lit(name).alias("quantity"), F.coalesce(c, F.lit(0)).cast("long").alias("measured"))
     measured = [
         one(images.join(lines.select("id").distinct(), "id", "left_anti"), "missing_labels", F.count("*")),
-        one(checked, "label_errors", F.sum(F.size("errors"))),
+        one(checked, "label_errors", F.sum("n_errors")),
         one(checked, "degenerate_boxes", F.count_if("degenerate")),
         one(splitting.collisions(images.select(F.col("path").alias("entry"))), "path_collisions", F.count("*")),
         one(splitting.crossing_histogram(images, threshold).where("crossing"), "crossing_pairs", F.sum("pairs")),

@@ -52,3 +52,10 @@ def test_equal_signs_are_no_exact_copies(spark, small, tmp_path):
     d = repeated(small, tmp_path, embeddings="SELECT * FROM {old} UNION ALL SELECT vec_id + 500 + vec_id % 7, list_transform(embedding, lambda x: 2 * x), label FROM {old} WHERE vec_id < 40")
     made = QUERIES["preparation_manifest"](spark, d).toPandas()
     assert_same(made, connect(d).sql(ORACLES["preparation_manifest"]).df())
+
+
+@pytest.mark.parametrize("name", ["final_validation", "qa_report"])
+def test_checks_take_lines_apart_once(spark, small, name):
+    """Several counts read the checked lines; they read a kept table, not the pattern again."""
+    plan = QUERIES[name](spark, small)._jdf.queryExecution().optimizedPlan().toString()
+    assert "lpad" not in plan  # of the text of a line
